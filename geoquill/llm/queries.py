@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquill.llm import archives, conversations, decontaminate, fingerprints, packing, token_files
+from geoquill.llm import archives, conversations, decontaminate, fingerprints, neardup, packing, token_files
 from geoquill.workspace import Workspace
 
 
@@ -42,13 +42,17 @@ def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("conv_id", F.col("part").cast("long").alias("part"), "n_turns", "n_equal", F.sha2("text", 256).alias("text_sha256"), F.length("text").cast("long").alias("n_chars"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, packing.word_count(docs["text"]))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op9_packing)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op7_near_duplicates, op9_packing)}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,5 +98,21 @@ parts as (
 select conv_id, part, n_turns, n_equal, sha256(text) as text_sha256, cast(length(text) as bigint) as n_chars from parts"""
 
 
+OP7 = rf"""
+with recursive w as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct r, array_to_string(w[i:i + least(len(w), 3) - 1], ' ') as s
+  from (select r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from w where len(w) > 0)),
+n as (select r, count(*) as n from s group by r),
+overlap as (select a.r as a, b.r as b, count(*) as x from s a join s b on a.s = b.s and a.r < b.r group by 1, 2),
+links as (select a, b from overlap join n na on na.r = a join n nb on nb.r = b where 100 * x >= 85 * (na.n + nb.n - x)),
+either as (select a, b from links union all select b, a from links),
+reach(r, t) as (select r, r from w union select reach.r, either.b from reach join either on reach.t = either.a),
+low as (select reach.r, min(w.doc_id) as c from reach join w on w.r = reach.t group by reach.r)
+select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, low.c as component_id, w.doc_id = low.c as kept
+from w left join n using (r) join low using (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op5_archives": OP5, "op6_chats": OP6}
+    return {"op7_near_duplicates": OP7, "op1_decontaminate": OP1, "op5_archives": OP5, "op6_chats": OP6}
