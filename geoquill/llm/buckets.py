@@ -109,10 +109,11 @@ def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFrame, plausible: Callable, prepare: Callable, same: Callable) -> DataFrame:
+def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable) -> DataFrame:
     """(id, component) of all items that have a link.
 
-    members: key, id; sigs: id, sig (binary, one length); payloads: id, payload (binary).
+    members: key, id; sigs: id, sig (binary, one length); payloads: id, payload
+    (binary), or a function that gives them for a frame of ids.
     plausible(sigs, sigs) -> mask of pairs worth confirming; same(prepare(payload),
     prepare(payload)) -> whether two items are linked. Ids are longs without nulls;
     repeated rows do no harm.
@@ -123,7 +124,7 @@ def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFra
     ws.drop(m)
     ids = ws.put(b.select("id").distinct(), "ids")
     s = ws.put(sigs.select("id", "sig").join(ids, "id", "left_semi"), "sigs")
-    pay = ws.put(payloads.select("id", "payload").join(ids, "id", "left_semi"), "payloads")
+    pay = ws.put((payloads(ids) if callable(payloads) else payloads).select("id", "payload").join(ids, "id", "left_semi"), "payloads")
     ws.release()
     pairs = b.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links, used = None, b.select("key", F.col("pivot").alias("id")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquill.llm import archives, conversations, decontaminate, fingerprints, neardup, packing, token_files
+from geoquill.llm import archives, conversations, decontaminate, fingerprints, lines, neardup, packing, token_files
 from geoquill.workspace import Workspace
 
 
@@ -51,8 +51,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.word_count(docs["text"]))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op7_near_duplicates, op9_packing)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op7_near_duplicates, op9_packing, op10_lines)}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
