@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquill.llm import archives, conversations, decontaminate, fingerprints, lines, neardup, packing, token_files
+from geoquill.llm import archives, conversations, decontaminate, fingerprints, lines, neardup, packing, token_files, toxicity
 from geoquill.workspace import Workspace
 
 
@@ -46,6 +46,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, packing.word_count(docs["text"]))
@@ -56,7 +60,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op7_near_duplicates, op9_packing, op10_lines)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op7_near_duplicates, op8_toxicity, op9_packing, op10_lines)}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
