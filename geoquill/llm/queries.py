@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquill.llm import archives, conversations, decontaminate, fingerprints, lines, neardup, packing, token_files, toxicity
+from geoquill.llm import archives, conversations, decontaminate, fingerprints, katz, lines, neardup, packing, token_files, toxicity
 from geoquill.workspace import Workspace
 
 
@@ -31,6 +31,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Workspace(spark, 'archives').root}/warc"
     archives.write_archives(table(spark, sf_dir, "pages"), path)
@@ -60,7 +64,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op5_archives, op6_chats, op7_near_duplicates, op8_toxicity, op9_packing, op10_lines)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op4_katz, op5_archives, op6_chats, op7_near_duplicates, op8_toxicity, op9_packing, op10_lines)}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
