@@ -1,9 +1,690 @@
-"""Registered queries of the feature engine."""
+"""Registered queries of the feature engine, each with the SQL that says the same.
 
+A query is a function of Tables; its name, and the ids of the operators that it
+covers, stand in its docstring. SQL may name the derived tables.
+"""
 
-def queries() -> dict:
-    return {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from geoquill.functions import codes, geometry
+from geoquill.operators import clusters, elevation, gaps, network, overlay, partitioning, spatial
+from geoquill.operators.graph import connected_components
+from geoquill.sources import tables
+from geoquill.sources.fixtures import Tables, with_derived
+from geoquill.streaming.replay import windowed_counts
+from geoquill.workspace import Workspace
+
+_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable:
+    def register(f: Callable[[Tables], DataFrame]) -> Callable:
+        _queries[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql:
+            _sql[f.__name__] = with_derived(sql)
+        return f
+
+    return register
+
+
+def work(t: Tables) -> Workspace:
+    return Workspace(t.spark, "features")
+
+
+L = "bigint"
+
+
+# --- sources, projection, predicates ---------------------------------------------------------
+
+
+@query("select id, x, y from pts where x < 3000 and y >= 500 and code in (970, 719)")
+def scan_filter(t):
+    """S01 F22 F23"""
+    return t.pts.where("x < 3000 and y >= 500").where(F.col("code").isin(970, 719)).select("id", "x", "y")
+
+
+@query("select id, code, case when id in (select id from hubs) then 1 else 0 end as flag from pts")
+def update_by_key(t):
+    """Replace values by key"""
+    base = t.pts.select("id", "code", F.lit(0).alias("flag"))
+    return tables.update(base, t.hubs.select("id", F.lit(1).alias("flag")), "id", "flag")
+
+
+@query("select id, code from pts where id not in (select id from hubs)")
+def delete_rows(t):
+    """S04 F27 F28"""
+    return tables.delete(t.pts.select("id", "code"), t.hubs, "id")
+
+
+@query("select id, x, y, code, 0 as origin from pts union all select id, x, y, null, 1 from hubs")
+def append_merge(t):
+    """S10 U01 U02 P14"""
+    return tables.append(t.pts.select("id", "x", "y", "code", F.lit(0).alias("origin")), t.hubs.withColumn("origin", F.lit(1)))
+
+
+@query("select (select count(*) from pts) as rows_a, (select count(*) from hubs) as rows_b, (select count(*) from pts) - (select count(*) from hubs) as difference")
+def compare_counts(t):
+    """S33 A07"""
+    return tables.compare_counts(t.pts, t.hubs)
+
+
+@query("select distinct col, row from landuse where id not in (select id from hubs)")
+def remaining_units(t):
+    """S28"""
+    return tables.remaining_units(t.landuse, t.hubs, "id").select("col", "row").distinct()
+
+
+_SYMBOL = "case " + " ".join(f"when code in ({', '.join(map(str, v))}) then {k}" for k, v in codes.SYMBOL_CODES.items()) + " else -99 end"
+
+
+@query(f"with s as (select id, code, {_SYMBOL} as s from pts) select id, case when s = -99 then 729 else code end as code, case when s = -99 then 8 else s end as symbol, case when (case when s = -99 then 8 else s end) in (1, 2, 3, 11) then 1 when s = 4 then 2 else 3 end as hierarchy from s")
+def building_symbols(t):
+    """P04 P08 P13"""
+    d = t.pts.withColumn("s", codes.symbol_class(F.col("code")))
+    symbol = codes.reclassify(F.col("s"), -99, 8)
+    return d.select("id", F.when(F.col("s") == -99, 729).otherwise(F.col("code")).alias("code"), symbol.alias("symbol"), codes.symbol_hierarchy(symbol).alias("hierarchy"))
+
+
+@query("select id, code, case " + " ".join(f"when code in ({', '.join(map(str, codes.SYMBOL_CODES[k]))}) then {r}" for r, k in enumerate(codes.OVERLAP_ORDER, 1)) + " else 10 end as hierarchy from pts")
+def overlap_hierarchy(t):
+    """P09"""
+    return t.pts.select("id", "code", codes.overlap_hierarchy(F.col("code")).alias("hierarchy"))
+
+
+@query("""with b as (select line_id, category, class, medium, case when src % 5 = 0 then 1 else 0 end as crossing from lines),
+k as (select *, case when class between 0 and 4 then 1 when class = 5 then 2 when class = 6 then 3 when class = 7 then 4 else 5 end as k,
+  case when crossing = 1 then case when category in ('E', 'R', 'F') then -3 when category = 'K' then -2 else -1 end else 0 end as x from b)
+select line_id, case when medium = 'B' then 0 else least(5, greatest(0, k + x)) end as road, case when medium = 'B' or category in ('E', 'R', 'F', 'K', 'P', 'S') then 0
+  when category in ('T', 'B') then 1 when category in ('D', 'A') then 2 when category = 'G' then 3 else 4 end as path from k""")
+def road_hierarchies(t):
+    """P10 P11"""
+    ferry = F.col("medium") == "B"
+    return t.lines.select("line_id", codes.road_hierarchy(F.col("category"), F.col("class"), (F.col("src") % 5 == 0).cast("int"), ferry).alias("road"), codes.path_hierarchy(F.col("category"), ferry).alias("path"))
+
+
+@query("select id, case when objtype in ('BUILDING', 'MACHINERY') then objtype else 'OTHER' end as objtype, case when code = 970 then 719 else code end as code, case objtype when 'BUILDING' then 'B' when 'FURNITURE' then 'F' else objtype end as short from pts")
+def reclassify(t):
+    """P05 P06 P07 P12"""
+    short = F.coalesce(F.element_at(F.create_map(F.lit("BUILDING"), F.lit("B"), F.lit("FURNITURE"), F.lit("F")), F.col("objtype")), F.col("objtype"))
+    return t.pts.select("id", codes.reclassify_others(F.col("objtype"), ["BUILDING", "MACHINERY"], "OTHER").alias("objtype"), codes.reclassify(F.col("code"), 970, 719).alias("code"), short.alias("short"))
+
+
+@query("""select id, (xmax - xmin) * (ymax - ymin) as area, 2 * (xmax - xmin + ymax - ymin) as perimeter,
+  cast(round(1000000 * 4 * pi() * ((xmax - xmin) * (ymax - ymin)) / ((2.0 * (xmax - xmin + ymax - ymin)) * (2.0 * (xmax - xmin + ymax - ymin)))) as bigint) as iq_ppm from boxes""")
+def compactness(t):
+    """P03 P19 P20"""
+    w, h = F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")
+    d = t.boxes.select("id", (w * h).alias("area"), (2 * (w + h)).alias("perimeter"))
+    return d.withColumn("iq_ppm", F.round(1000000 * 4 * F.pi() * F.col("area") / (F.col("perimeter").cast("double") * F.col("perimeter"))).cast(L))
+
+
+@query("select id, (xmax - xmin) * (ymax - ymin) as area, case when (xmax - xmin) * (ymax - ymin) < 10000 then 'small' else 'large' end as size, case when (xmax - xmin) * (ymax - ymin) < 100 * 2 * (xmax - xmin + ymax - ymin) then 'narrow' else 'wide' end as shape from boxes where class not like 'PROMO%' or class is null")
+def size_split(t):
+    """F30 F31 P21"""
+    w, h = F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")
+    open_ = t.boxes.where(~F.col("class").startswith("PROMO") | F.col("class").isNull())
+    return open_.select("id", (w * h).alias("area"), F.when(w * h < 10000, "small").otherwise("large").alias("size"), F.when(w * h < 100 * 2 * (w + h), "narrow").otherwise("wide").alias("shape"))
+
+
+@query("select row_number() over (order by y, x, id) as seq, id, code as original_code, concat(objtype, '-', cast(code as varchar)) as label from pts")
+def relabel(t):
+    """A running number without one task for all rows"""
+    from geoquill.operators.ordering import running_totals
+
+    n = running_totals(t.pts.select("id", "x", "y", "code", "objtype"), work(t), ["y", "x", "id"])
+    return n.select((F.col("row_no") + 1).alias("seq"), "id", F.col("code").alias("original_code"), F.concat("objtype", F.lit("-"), F.col("code").cast("string")).alias("label"))
+
+
+@query("select id, case when id % 2 = 0 then '1.234,5' else '12,75' end as raw, cast(case when id % 2 = 0 then 123450 else 1275 end as bigint) as hundredths, lower(substr(objtype, 1, 4)) as prefix, regexp_replace(objtype, '[AEIOU]', '_', 'g') as masked from pts")
+def text_functions(t):
+    """M01 M02 M05 M06"""
+    raw = F.when(F.col("id") % 2 == 0, "1.234,5").otherwise("12,75")
+    return t.pts.select("id", raw.alias("raw"), F.round(codes.local_number(raw) * 100).cast(L).alias("hundredths"), F.lower(F.substring("objtype", 1, 4)).alias("prefix"), F.regexp_replace("objtype", "[AEIOU]", "_").alias("masked"))
+
+
+@query("""with p1 as (select id from pts where code = 970), p2 as (select id from pts where x < 5000)
+select 'add' as kind, count(*) as n from pts where id in (select id from p1) or id in (select id from p2) union all
+select 'remove', count(*) from p1 where id not in (select id from p2) union all select 'subset', count(*) from p1 where id in (select id from p2) union all
+select 'switch', count(*) from pts where id not in (select id from p1) union all select 'clear', count(*) from pts union all select 'new', count(*) from p1""")
+def selection_algebra(t):
+    """One scan, one flag for each selection"""
+    p1, p2 = F.col("code") == 970, F.col("x") < 5000
+    kinds = {"add": p1 | p2, "remove": p1 & ~p2, "subset": p1 & p2, "switch": ~p1, "clear": F.lit(True), "new": p1}
+    sums = t.pts.agg(*[F.sum(F.when(c, 1).otherwise(0)).alias(k) for k, c in kinds.items()])
+    return sums.select(F.explode(F.create_map(*[x for k in kinds for x in (F.lit(k), F.col(k))])).alias("kind", "n"))
+
+
+@query("select line_id, class from lines where class % 5 = 0 and category is not null and medium not in ('L')")
+def predicates(t):
+    """F24 F25"""
+    return t.lines.where((F.col("class") % 5 == 0) & F.col("category").isNotNull() & ~F.col("medium").isin("L")).select("line_id", "class")
+
+
+# --- spatial selections and joins ------------------------------------------------------------
+
+
+@query("select p.id from pts p where exists (select 1 from hubs h where (p.x - h.x) * (p.x - h.x) + (p.y - h.y) * (p.y - h.y) <= 40000)")
+def select_near(t):
+    """F03 F04 F13"""
+    return spatial.select_by_location(t.pts.select("id"), spatial.within_distance(t.pts, t.hubs, 200), "a_id")
+
+
+@query("select p.id from pts p where not exists (select 1 from boxes b where p.x between b.xmin and b.xmax and p.y between b.ymin and b.ymax)")
+def select_outside(t):
+    """F05 F12 F17"""
+    return spatial.select_by_location(t.pts.select("id"), spatial.points_in_boxes(t.pts, t.boxes), "point_id", inverted=True)
+
+
+@query("select a.id as a_id, b.id as b_id from boxes a join boxes b on a.id <> b.id and b.xmin >= a.xmin and b.xmax <= a.xmax and b.ymin >= a.ymin and b.ymax <= a.ymax")
+def contains(t):
+    """F17 F18 J07"""
+    p = spatial.box_pairs(t.boxes, t.boxes)
+    return p.where("a_id <> b_id and b_xmin >= a_xmin and b_xmax <= a_xmax and b_ymin >= a_ymin and b_ymax <= a_ymax").select("a_id", "b_id")
+
+
+@query("select a.id from boxes a where exists (select 1 from boxes b where a.id <> b.id and (a.xmin + a.xmax) between 2 * b.xmin and 2 * b.xmax and (a.ymin + a.ymax) between 2 * b.ymin and 2 * b.ymax)")
+def centre_in(t):
+    """F14"""
+    p = spatial.box_pairs(t.boxes, t.boxes).where("a_id <> b_id and a_xmin + a_xmax between 2 * b_xmin and 2 * b_xmax and a_ymin + a_ymax between 2 * b_ymin and 2 * b_ymax")
+    return spatial.select_by_location(t.boxes.select("id"), p, "a_id")
+
+
+@query("select a.id as a_id, b.id as b_id from boxes a join boxes b on a.id < b.id and a.xmin <= b.xmax and b.xmin <= a.xmax and a.ymin <= b.ymax and b.ymin <= a.ymax and (a.xmax = b.xmin or b.xmax = a.xmin or a.ymax = b.ymin or b.ymax = a.ymin)")
+def boundary_touches(t):
+    """F15"""
+    return spatial.box_pairs(t.boxes, t.boxes).where("a_id < b_id and (x0 = x1 or y0 = y1)").select("a_id", "b_id")
+
+
+@query("select a.line_id as a_id, b.line_id as b_id from lines a join lines b on a.line_id < b.line_id and least(a.src, a.dst) = least(b.src, b.dst) and greatest(a.src, a.dst) = greatest(b.src, b.dst)")
+def shared_segments(t):
+    """F16 F19 J06"""
+    k = t.lines.select("line_id", F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+    return k.withColumnRenamed("line_id", "a_id").join(k.withColumnRenamed("line_id", "b_id"), ["a", "b"]).where("a_id < b_id").select("a_id", "b_id")
+
+
+@query("select a.id as id, count(b.id) as join_count, min(b.id) as first_id from boxes a left join boxes b on a.xmin <= b.xmax and b.xmin <= a.xmax and a.ymin <= b.ymax and b.ymin <= a.ymax group by a.id")
+def join_one_to_one(t):
+    """J01 J03"""
+    return overlay.count_features(t.boxes, t.boxes)
+
+
+@query("select a.id as a_id, b.id as b_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) as d2 from pts a join pts b on a.id < b.id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 62500")
+def near_table_all(t):
+    """J02 J08 J10"""
+    return spatial.within_distance(t.pts, t.pts, 250).where("a_id < b_id")
+
+
+@query("""select a_id, b_id, d2, rank from (select *, row_number() over (partition by a_id order by d2, b_id) as rank from
+(select a.id as a_id, b.id as b_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) as d2 from pts a join pts b on a.id <> b.id) p where d2 <= 90000) r where rank <= 3""")
+def near_table_k(t):
+    """J11 T04 W12"""
+    p = spatial.within_distance(t.pts, t.pts, 300).where("a_id <> b_id")
+    from pyspark.sql import Window
+
+    return p.withColumn("rank", F.row_number().over(Window.partitionBy("a_id").orderBy("d2", "b_id"))).where("rank <= 3")
+
+
+@query("""select a_id, b_id, d2 from (select a.id as a_id, h.id as b_id, (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) as d2,
+row_number() over (partition by a.id order by (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y), h.id) as r from pts a, hubs h) q where r = 1""")
+def nearest_hub(t):
+    """J04 J09"""
+    return spatial.nearest_one(t.pts, t.hubs, 400, 6)
+
+
+@query("select a_id, b_id, area from (select *, row_number() over (partition by a_id order by area desc, b_id) as r from (select a.id as a_id, b.id as b_id, (least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) as area from boxes a join boxes b on a.id <> b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax) o) p where r = 1")
+def largest_overlap(t):
+    """J05"""
+    o = overlay.intersections(t.boxes, t.boxes).where("a_id <> b_id")
+    return o.groupBy("a_id").agg(F.max(F.struct("area", (-F.col("b_id")).alias("n"))).alias("m")).select("a_id", (-F.col("m.n")).alias("b_id"), F.col("m.area").alias("area"))
+
+
+@query("select a.id as a_id, b.id as b_id, greatest(a.xmin, b.xmin) as x0, greatest(a.ymin, b.ymin) as y0, least(a.xmax, b.xmax) as x1, least(a.ymax, b.ymax) as y1, (least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) as area from boxes a join boxes b on a.id < b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax")
+def intersect_overlay(t):
+    """J16 J19"""
+    return overlay.intersections(t.boxes, t.boxes).where("a_id < b_id")
+
+
+@query("select l.id, case when r.new_class is null then l.category else r.new_class end as new_class, r.pass from landuse l left join (select id, new_class, pass from (select l.id, r.new_class, r.pass, row_number() over (partition by l.id order by r.rule_no) as n from landuse l join rules r on l.category = r.a and (r.h = '*' or r.h = l.main) and (r.u = '*' or r.u = l.sub) and (r.g = '*' or r.g = l.ground)) q where n = 1) r on l.id = r.id")
+def wildcard_rules(t):
+    """J14 P29 S25"""
+    return overlay.wildcard_rules(t.landuse, t.rules, ["category", "main", "sub", "ground"], ["a", "h", "u", "g"]).select("id", "new_class", "pass")
+
+
+@query("""select id, required, actual, greatest(0, required - actual) as short, actual < required as conflict from (select a.id, case a.objtype when 'BUILDING' then 150 when 'MACHINERY' then 90 else 50 end as required,
+coalesce((select min(floor(sqrt((a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y)))) from hubs h where (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) <= 90000), 9999) as actual from pts a) q""")
+def road_distance_rule(t):
+    """J28 J29 W13"""
+    near = spatial.within_distance(t.pts, t.hubs, 300).groupBy(F.col("a_id").alias("id")).agg(F.min("d2").alias("d2"))
+    required = F.when(F.col("objtype") == "BUILDING", 150).when(F.col("objtype") == "MACHINERY", 90).otherwise(50)
+    d = t.pts.join(near, "id", "left").select("id", required.alias("required"), F.coalesce(F.floor(F.sqrt(F.col("d2").cast("double"))), F.lit(9999)).cast("double").alias("actual"))
+    return d.select("id", "required", "actual", F.greatest(F.lit(0), F.col("required") - F.col("actual")).alias("short"), (F.col("actual") < F.col("required")).alias("conflict"))
+
+
+@query("select a.line_id as a_id, b.line_id as b_id from lines a join lines b on a.line_id < b.line_id and (a.src in (b.src, b.dst) or a.dst in (b.src, b.dst))")
+def endpoint_join(t):
+    """J12 J21 N01 L02"""
+    e = network.ends(t.lines)
+    return e.withColumnRenamed("line_id", "a_id").join(e.withColumnRenamed("line_id", "b_id"), "node").where("a_id < b_id").select("a_id", "b_id").distinct()
+
+
+@query("select a.line_id as a_id, b.line_id as b_id from lines a join lines b on a.line_id < b.line_id and (a.src in (b.src, b.dst) or a.dst in (b.src, b.dst)) and (a.medium = b.medium or a.category = b.category)")
+def medium_adjacency(t):
+    """J23"""
+    e = t.lines.select(F.explode(F.array("src", "dst")).alias("node"), "line_id", "medium", "category")
+    a, b = (e.select("node", *[F.col(c).alias(f"{s}_{c}") for c in ("line_id", "medium", "category")]) for s in "ab")
+    p = a.join(b, "node").where("a_line_id < b_line_id and (a_medium = b_medium or a_category = b_category)")
+    return p.select(F.col("a_line_id").alias("a_id"), F.col("b_line_id").alias("b_id")).distinct()
+
+
+@query("select p.id, 500 - floor(p.x / 100) - 2 * floor((10100 - p.y) / 100) + cast(floor(p.x / 100) * 31 + floor((10100 - p.y) / 100) * 17 as bigint) % 7 as z from pts p")
+def raster_sample(t):
+    """J24 S17 Z01"""
+    c = t.spark.range(102).withColumnRenamed("id", "col").crossJoin(t.spark.range(102).withColumnRenamed("id", "row"))
+    dem = c.withColumn("z", 500 - F.col("col") - 2 * F.col("row") + (F.col("col") * 31 + F.col("row") * 17) % 7)
+    return elevation.sample(t.pts, dem, 100, 10100).select("id", F.col("z").cast("double").alias("z"))
+
+
+# --- aggregation, windows, sets --------------------------------------------------------------
+
+
+@query("select category, medium, count(*) as n, max(length_cm) as longest, sum(length_cm) as total, string_agg(cast(class as varchar), ',' order by class, line_id) as classes from lines group by 1, 2")
+def statistics(t):
+    """A04 A05 A06 A09 A11 A22"""
+    return t.lines.groupBy("category", "medium").agg(F.count(F.lit(1)).alias("n"), F.max("length_cm").alias("longest"), F.sum("length_cm").alias("total"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("class", "line_id"))), lambda s: s["class"].cast("string")), ",").alias("classes"))
+
+
+@query("select code, count(*) as n from pts group by code union all select null, count(*) from pts")
+def code_histogram(t):
+    """A10 A12"""
+    return t.pts.rollup("code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select src, count(*) as n from lines group by src having count(*) > 1")
+def repeated_keys(t):
+    """A13 U04"""
+    return t.lines.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query("select class, id, area from (select class, id, (xmax - xmin) * (ymax - ymin) as area, row_number() over (partition by class order by (xmax - xmin) * (ymax - ymin) desc, id) as r from boxes) q where r = 1")
+def largest_per_class(t):
+    """A14 A15 T02 K27"""
+    area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+    return t.boxes.groupBy("class").agg(F.max(F.struct(area.alias("area"), (-F.col("id")).alias("n"))).alias("m")).select("class", (-F.col("m.n")).alias("id"), F.col("m.area").alias("area"))
+
+
+@query("select objtype, min(x) as xmin, min(y) as ymin, max(x) as xmax, max(y) as ymax, cast(floor(avg(x)) as bigint) as cx, cast(floor(avg(y)) as bigint) as cy from pts group by objtype")
+def extents(t):
+    """A16 A17 G41 G55"""
+    return t.pts.groupBy("objtype").agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax"), F.floor(F.avg("x")).alias("cx"), F.floor(F.avg("y")).alias("cy"))
+
+
+@query("""select col, row, n_owned, n_halo, round(100.0 * n_owned / (n_owned + n_halo), 2) as owned_percent from (select c.col, c.row, sum(case when c.col = floor(p.x / 1000) and c.row = floor(p.y / 1000) then 1 else 0 end) as n_owned,
+sum(case when c.col = floor(p.x / 1000) and c.row = floor(p.y / 1000) then 0 else 1 end) as n_halo from pts p, (select a.c as col, b.c as row from (select unnest(range(-1, 12)) as c) a, (select unnest(range(-1, 12)) as c) b) c
+where (c.col = floor(p.x / 1000) and c.row = floor(p.y / 1000)) or greatest(c.col * 1000 - p.x, p.x - (c.col + 1) * 1000, 0) * greatest(c.col * 1000 - p.x, p.x - (c.col + 1) * 1000, 0) + greatest(c.row * 1000 - p.y, p.y - (c.row + 1) * 1000, 0) * greatest(c.row * 1000 - p.y, p.y - (c.row + 1) * 1000, 0) <= 40000
+group by 1, 2) q where n_owned > 0""")
+def partition_metrics(t):
+    """A19 R04 R05 R07 R13"""
+    return partitioning.metrics(partitioning.assign(t.pts, 1000, 200))
+
+
+@query("select objtype, id, hierarchy from (select objtype, id, code % 10 as hierarchy, row_number() over (partition by objtype order by code % 10, id) as r from pts) q where r = 1")
+def top_one(t):
+    """W01 W07"""
+    return overlay.top_one(t.pts.select("objtype", "id", (F.col("code") % 10).alias("hierarchy")), ["objtype"], ["hierarchy", "id"])
+
+
+@query("select line_id, cast(round(1000000 * case when hi > lo then (v - lo) / (hi - lo) else 0 end) as bigint) as norm_ppm from (select line_id, cast(src % 97 as double) as v, min(src % 97) over (partition by category) as lo, max(src % 97) over (partition by category) as hi from lines) q")
+def normalise(t):
+    """W02 W03 W04 W05"""
+    d = t.lines.select("line_id", "category", (F.col("src") % 97).cast("double").alias("v"))
+    return d.select("line_id", F.round(1000000 * gaps.normalised("v", ["category"])).cast(L).alias("norm_ppm"))
+
+
+@query("select line_id, row_number() over (order by coalesce(nullif(instr('ERFKPSBTDAUG', category), 0), 13), coalesce(class, 1000000000), coalesce(length_cm, 1000000000), line_id) as place from lines where src < 2000")
+def priority_order(t):
+    """T01 T03 T06 T07"""
+    from geoquill.operators.ordering import running_totals
+
+    d = t.lines.where("src < 2000").select("line_id", codes.category_rank("category").alias("r"), F.coalesce("class", F.lit(10**9)).alias("c"), F.coalesce("length_cm", F.lit(10**9)).alias("l"))
+    return running_totals(d, work(t), ["r", "c", "l", "line_id"]).select("line_id", (F.col("row_no") + 1).alias("place"))
+
+
+@query("select least(src, dst) as a, greatest(src, dst) as b, min(line_id) as line_id from lines group by 1, 2")
+def delete_identical(t):
+    """U03"""
+    return t.lines.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.min("line_id").alias("line_id"))
+
+
+@query("select 'both' as kind, count(*) as n from (select id from pts intersect select id from boxes) q union all select 'only_pts', count(*) from (select id from pts except select id from boxes) q union all select 'only_boxes', count(*) from (select id from boxes except select id from pts) q")
+def set_operators(t):
+    """U05 U06 U07 U08"""
+    p, b = t.pts.select("id"), t.boxes.select("id")
+    parts = {"both": p.intersect(b), "only_pts": p.subtract(b), "only_boxes": b.subtract(p)}
+    return tables.append(*[x.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, x in parts.items()])
+
+
+@query("""with s as (select category, class, list_sort(list(distinct medium)) as m from lines group by 1, 2)
+select a.category, a.class as a_class, b.class as b_class from s a join s b on a.category = b.category and a.class <> b.class and list_has_all(b.m, a.m) and list_has_any(a.m, b.m)""")
+def subset_sets(t):
+    """U09 U10 U11 M18 Q27"""
+    s = t.lines.groupBy("category", "class").agg(F.collect_set("medium").alias("m"))
+    a, b = s.toDF("category", "a_class", "am"), s.toDF("category", "b_class", "bm")
+    return a.join(b, "category").where((F.col("a_class") != F.col("b_class")) & (F.size(F.array_except("am", "bm")) == 0) & F.arrays_overlap("am", "bm")).select("category", "a_class", "b_class")
+
+
+# --- geometry --------------------------------------------------------------------------------
+
+
+@query("""select line_id, (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as len2, cast(round(1000 * case when x1 = x2 and y1 = y2 then null else (degrees(atan2(y2 - y1, x2 - x1)) + 360) - 360 * floor((degrees(atan2(y2 - y1, x2 - x1)) + 360) / 360) end) as bigint) as angle_mdeg,
+cast(round(1000 * case when x1 = x2 and y1 = y2 then null else (degrees(atan2(y2 - y1, x2 - x1)) + 360) - 180 * floor((degrees(atan2(y2 - y1, x2 - x1)) + 360) / 180) end) as bigint) as azimuth_mdeg from lines""")
+def line_angles(t):
+    """G01 G06 G08 P22 M09"""
+    c = [F.col(n) for n in ("x1", "y1", "x2", "y2")]
+    return t.lines.select("line_id", geometry.distance2(*c).alias("len2"), F.round(1000 * geometry.direction(*c)).cast(L).alias("angle_mdeg"), F.round(1000 * geometry.azimuth(*c)).cast(L).alias("azimuth_mdeg"))
+
+
+@query("""select a.line_id as a_id, b.line_id as b_id from lines a join lines b on a.line_id < b.line_id and a.src = b.src where
+cast(round(least(abs(abs(degrees(atan2(a.y2 - a.y1, a.x2 - a.x1)) - degrees(atan2(b.y2 - b.y1, b.x2 - b.x1)))), 360 - abs(degrees(atan2(a.y2 - a.y1, a.x2 - a.x1)) - degrees(atan2(b.y2 - b.y1, b.x2 - b.x1))))) as bigint) <= 46""")
+def similar_directions(t):
+    """G07 G11 G12 A23"""
+    d = t.lines.select("line_id", "src", geometry.direction(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("d"))
+    p = d.toDF("a_id", "src", "da").join(d.toDF("b_id", "src", "db"), "src").where("a_id < b_id")
+    return p.where(F.round(geometry.direction_difference(F.col("da"), F.col("db"))) <= 46).select("a_id", "b_id")
+
+
+@query("""select p.id, cast(floor(1000 * case when x1 = x2 and y1 = y2 then sqrt((p.x - x1) * (p.x - x1) + (p.y - y1) * (p.y - y1)) else abs((x2 - x1) * (y1 - p.y) - (x1 - p.x) * (y2 - y1)) / sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double)) end + 0.5) as bigint) as milli from pts p join lines l on p.id = l.line_id""")
+def point_line_distance(t):
+    """G02 G03"""
+    d = t.pts.join(t.lines, F.col("id") == F.col("line_id"))
+    return d.select("id", F.floor(1000 * geometry.line_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]) + 0.5).alias("milli"))
+
+
+_SEGMENTS = "seg as (select id, x as x1, y as y1, x + (id % 7) * 100 - 300 as x2, y + (id % 5) * 90 - 170 as y2 from pts)"
+
+
+@query(f"""with {_SEGMENTS} select a.id as a_id, b.id as b_id from seg a join seg b on a.id < b.id
+where sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) * sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) < 0
+and sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) * sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) < 0""")
+def crossing_lines(t):
+    """Candidates share a cell, then the exact test"""
+    x, y, k = F.col("x"), F.col("y"), F.col("id")
+    seg = t.pts.select("id", x.alias("x1"), y.alias("y1"), (x + (k % 7) * 100 - 300).alias("x2"), (y + (k % 5) * 90 - 170).alias("y2"))
+    boxes = seg.select("id", F.least("x1", "x2").alias("xmin"), F.least("y1", "y2").alias("ymin"), F.greatest("x1", "x2").alias("xmax"), F.greatest("y1", "y2").alias("ymax"))
+    p = spatial.box_pairs(boxes, boxes).where("a_id < b_id").select("a_id", "b_id")
+    a, b = (seg.select(F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}{c}") for c in ("x1", "y1", "x2", "y2")]) for s in "ab")
+    return p.join(a, "a_id").join(b, "b_id").where(geometry.crosses(*[F.col(f"{s}{c}") for s in "ab" for c in ("x1", "y1", "x2", "y2")])).select("a_id", "b_id")
+
+
+@query("select node, line_id from (select node, min(line_id) as line_id, count(*) as n from (select src as node, line_id from lines union all select dst, line_id from lines) e group by node) d where n = 1")
+def dangling_ends(t):
+    """G16 G17 G18 N21 F34"""
+    return network.dangles(t.lines)
+
+
+@query("""with p as (select line_id, length_cm / 100.0 as l, cast(ceil(length_cm / 3000.0) as int) as n from lines)
+select line_id, i as part, cast(round(100 * l * i / n) as bigint) as a_cm, cast(round(100 * l * (i + 1) / n) as bigint) as b_cm from (select *, unnest(range(0, n)) as i from p) q""")
+def even_segments(t):
+    """G22 G23 G24 G26 M12 X06"""
+    d = t.lines.select("line_id", F.posexplode(geometry.even_positions(F.col("length_cm") / 100.0, 30.0)).alias("part", "s"))
+    return d.select("line_id", F.col("part").cast(L).alias("part"), F.round(100 * F.col("s.a")).cast(L).alias("a_cm"), F.round(100 * F.col("s.b")).cast(L).alias("b_cm"))
+
+
+@query("""with p as (select line_id, length_cm as l, length_cm // 3000 as q, length_cm - 3000 * (length_cm // 3000) as r from lines), n as (select *, case when r > 1500 then q + 1 else q end as n from p)
+select line_id, i as part, i * 3000 as a_cm, case when i = n - 1 then l else (i + 1) * 3000 end as b_cm from (select *, unnest(range(0, n)) as i from n) q""")
+def fixed_segments(t):
+    """G22 G27 Q25"""
+    d = t.lines.select("line_id", F.posexplode(geometry.fixed_positions(F.col("length_cm").cast("double"), 3000.0, 1500.0)).alias("part", "s"))
+    return d.select("line_id", F.col("part").cast(L).alias("part"), F.round("s.a").cast(L).alias("a_cm"), F.round("s.b").cast(L).alias("b_cm"))
+
+
+@query("select id, xmin - 20 as xmin, ymin - 20 as ymin, xmax + 20 as xmax, ymax + 20 as ymax from boxes where id % 2 = 0 union all select id, xmin + 15, ymin + 15, xmax - 15, ymax - 15 from boxes where id % 2 = 1 and xmax - xmin > 30 and ymax - ymin > 30")
+def buffers(t):
+    """G35 G36 G39"""
+    c = ["id", "xmin", "ymin", "xmax", "ymax"]
+    return spatial.grow(t.boxes.where("id % 2 = 0").select(*c), 20).unionByName(spatial.grow(t.boxes.where("id % 2 = 1").select(*c), -15))
+
+
+@query(f"with s as (select id, x, y, case when {_SYMBOL} = -99 then 8 else {_SYMBOL} end as s from pts), d as (select *, case when s in (1, 2) then 175 when s = 3 then 160 when s = 4 then 100 when s = 9 then 55 when s in (10, 11) then 130 else 45 end as w, case when s in (1, 2) then 175 when s = 3 then 120 when s = 4 then 100 when s = 9 then 65 when s in (10, 11) then 130 else 45 end as h from s) select id, 2 * x - w as xmin2, 2 * y - h as ymin2, 2 * x + w as xmax2, 2 * y + h as ymax2 from d")
+def symbol_rectangles(t):
+    """G33 G40 S30 P28"""
+    s = t.pts.withColumn("s", codes.reclassify(codes.symbol_class(F.col("code")), -99, 8))
+    size = t.spark.createDataFrame([(k, *v) for k, v in codes.SYMBOL_SIZE.items()], "s int, w int, h int")
+    d = s.join(size, "s")
+    return d.select("id", (2 * F.col("x") - F.col("w")).alias("xmin2"), (2 * F.col("y") - F.col("h")).alias("ymin2"), (2 * F.col("x") + F.col("w")).alias("xmax2"), (2 * F.col("y") + F.col("h")).alias("ymax2"))
+
+
+@query("select id, cast(floor(x / 25.0 + 0.5) as bigint) * 25 as x, cast(floor(y / 25.0 + 0.5) as bigint) * 25 as y, cast(floor(x / 25.0 + 0.5) as bigint) * 25 = x and cast(floor(y / 25.0 + 0.5) as bigint) * 25 = y as same from pts")
+def snap_to_grid(t):
+    """G49 G50 G56 M10 M11"""
+    x, y = geometry.snap(F.col("x"), 25), geometry.snap(F.col("y"), 25)
+    return t.pts.select("id", x.alias("x"), y.alias("y"), ((x == F.col("x")) & (y == F.col("y"))).alias("same"))
+
+
+@query("select line_id, x2 as x1, y2 as y1, x1 as x2, y1 as y2, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) > 60 as trimmed, 2 as n_vertices, cast(floor(100 * sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double))) as bigint) as length_cm from lines where src % 3 = 0")
+def line_editing(t):
+    """G42 G43 G45 G46 G61 G62 A08"""
+    p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    d = t.lines.where("src % 3 = 0").withColumn("line", geometry.reverse_line(F.array(p("x1", "y1"), p("x2", "y2"))))
+    line = F.col("line")
+    again = geometry.replace_end(geometry.extend_end(geometry.merge_lines(line, F.slice(line, 2, 1)), line[0]), line[1])
+    return d.select("line_id", line[0]["x"].alias("x1"), line[0]["y"].alias("y1"), line[1]["x"].alias("x2"), line[1]["y"].alias("y2"), geometry.trim(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], 30.0).isNotNull().alias("trimmed"), (F.size(again) - 1).alias("n_vertices"), F.floor(100 * geometry.line_length(line)).alias("length_cm"))
+
+
+# --- clusters --------------------------------------------------------------------------------
+
+_NEAR = "near as (select a.id as a, b.id as b from pts a join pts b on (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 62500)"
+
+
+@query(f"""with recursive {_NEAR}, core as (select a as id from near group by a having count(*) >= 4),
+e as (select n.a, n.b from near n join core c on n.a = c.id join core d on n.b = d.id), reach(a, b) as (select id, id from core union select r.a, e.b from reach r join e on r.b = e.a),
+cc as (select a as id, min(b) as cluster from reach group by a)
+select id, cluster from cc union all select b.id, cc.cluster from (select n.a as id, min(n.b) as core from near n join core c on n.b = c.id where n.a not in (select id from core) group by n.a) b join cc on cc.id = b.core""")
+def dbscan(t):
+    """C01 C02"""
+    return clusters.dbscan(t.pts, 250, 4, work(t))
+
+
+@query("""with recursive e as (select a.id as a, b.id as b from pts a join pts b on (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 40000 and a.balance % 7 <> b.balance % 7),
+reach(a, b) as (select id, id from pts union select r.a, e.b from reach r join e on r.b = e.a) select a as id, min(b) as cluster from reach group by a""")
+def height_clusters(t):
+    """C03 C12"""
+    return clusters.height_clusters(t.pts.withColumn("height", F.col("balance") % 7), 200, work(t))
+
+
+@query("select id, case when exists (select 1 from pts b where a.id <> b.id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 22500) then 'dense' else 'isolated' end as kind from pts a")
+def isolated_or_dense(t):
+    """C07 C10"""
+    near = spatial.within_distance(t.pts, t.pts, 150).where("a_id <> b_id").select(F.col("a_id").alias("id")).distinct().withColumn("kind", F.lit("dense"))
+    return t.pts.select("id").join(near, "id", "left").select("id", F.coalesce("kind", F.lit("isolated")).alias("kind"))
+
+
+@query(None)
+def independent_set(t):
+    """No two kept within 250, and none could be added"""
+    return clusters.independent_set(t.pts, 250, work(t))
+
+
+@query(f"""with recursive {_NEAR}, reach(a, b) as (select id, id from pts union select r.a, n.b from reach r join near n on r.b = n.a), cc as (select a as id, min(b) as cluster from reach group by a),
+m as (select p.id, cc.cluster, p.x, p.y, min(p.x) over (partition by cc.cluster) + max(p.x) over (partition by cc.cluster) as cx, min(p.y) over (partition by cc.cluster) + max(p.y) over (partition by cc.cluster) as cy from pts p join cc on cc.id = p.id)
+select cluster, id from (select *, row_number() over (partition by cluster order by (2 * x - cx) * (2 * x - cx) + (2 * y - cy) * (2 * y - cy), id) as r from m) q where r = 1""")
+def cluster_members(t):
+    """C04 C05 C06 A14"""
+    near = spatial.within_distance(t.pts, t.pts, 250).where("a_id < b_id")
+    of = connected_components(near, work(t), "a_id", "b_id")
+    c = t.pts.select("id").join(of, "id", "left").select("id", F.coalesce("component", "id").alias("cluster"))
+    return clusters.nearest_to_centre(t.pts, c)
+
+
+@query(None)
+def merge_facilities(t):
+    """C11 A18 Q53"""
+    return clusters.merge_nearest(t.pts.where("code in (970, 719, 671)"), {"BUILDING": 300, "MACHINERY": 200, "FURNITURE": 250}).select("objtype", F.floor("x").alias("x"), F.floor("y").alias("y"), "members")
+
+
+# --- networks --------------------------------------------------------------------------------
+
+_REACH = "both_ as (select src as a, dst as b from lines union all select dst, src from lines), reach(a, b) as (select distinct a, a from both_ union select r.a, e.b from reach r join both_ e on r.b = e.a), cc as (select a as node, min(b) as component from reach group by a)"
+
+
+@query(f"with recursive {_REACH} select l.line_id, cc.component from lines l join cc on cc.node = l.src")
+def line_components(t):
+    """N08 N09 N10 N12 A24"""
+    return network.line_components(t.lines, work(t))
+
+
+_ISOLATED = f"with recursive {_REACH}, s as (select cc.component, count(*) as n, sum(length_cm) as total from lines l join cc on cc.node = l.src group by 1) select l.line_id, l.src, l.dst, l.length_cm from lines l join cc on cc.node = l.src join s on s.component = cc.component where not (s.n <= 3 and s.total < 20000 + 5000 * s.n)"
+
+
+@query(_ISOLATED)
+def isolated_line_removal(t):
+    """The flagship"""
+    return network.isolated_lines(t.lines.select("line_id", "src", "dst", "length_cm"), work(t), 3, 20000, 5000)
+
+
+_E2 = "e as (select line_id, least(src, dst) as a, greatest(src, dst) as b from lines where src <> dst), d as (select distinct a, b from e), n as (select a, b from d union all select b, a from d)"
+
+
+@query(f"with {_E2} select line_id from e where (a, b) in (select (a, b) from e group by a, b having count(*) > 1)")
+def parallel_lines(t):
+    """N03 N04"""
+    return network.parallel_lines(t.lines).unionByName(network.self_loops(t.lines))
+
+
+@query(f"with {_E2} select distinct e.line_id from e join n x on x.a = e.a join n y on y.a = e.b and y.b = x.b")
+def triangle_lines(t):
+    """N05"""
+    return network.triangle_lines(t.lines)
+
+
+@query(f"with {_E2} select distinct e.line_id from e join n x on x.a = e.b and x.b <> e.a join n y on y.a = e.a and y.b <> e.b join n z on z.a = x.b and z.b = y.b where x.b <> y.b")
+def quad_lines(t):
+    """N05 N07"""
+    return network.quad_lines(t.lines)
+
+
+@query(f"""with recursive {_E2}, p(start, node, steps, path) as (select id, id, 0, [id] from hubs where id in (select a from n) union all select p.start, n.b, p.steps + 1, list_append(p.path, n.b) from p join n on n.a = p.node where p.steps < 4 and not list_contains(p.path, n.b))
+select start, node, steps, array_to_string(path, '-') as path from p""")
+def bounded_paths(t):
+    """N16"""
+    nodes = network.ends(t.lines).select("node").distinct()
+    p = network.paths(t.lines, t.hubs.select(F.col("id").alias("node")).join(nodes, "node", "left_semi"), 4)
+    return p.select("start", "node", "steps", F.array_join(F.col("path").cast("array<string>"), "-").alias("path"))
+
+
+@query(f"""with recursive {_E2}, p(start, before, node, steps) as (select id, cast(null as bigint), id, 0 from hubs where id in (select a from n) union all select p.start, p.node, n.b, p.steps + 1 from p join n on n.a = p.node where p.steps < 3 and (p.before is null or n.b <> p.before) and n.b <> p.start and not exists (select 1 from n x where x.a = p.before and x.b = n.b))
+select start, steps, count(*) as paths from p group by 1, 2""")
+def guarded_paths(t):
+    """N17 N18"""
+    nodes = network.ends(t.lines).select("node").distinct()
+    p = network.paths(t.lines, t.hubs.select(F.col("id").alias("node")).join(nodes, "node", "left_semi"), 3, previous_rule=True)
+    return p.groupBy("start", "steps").agg(F.count(F.lit(1)).alias("paths"))
+
+
+@query("with recursive b as (select src as a, dst as b from lines union all select dst, src from lines), r(node, level) as (select id, 0 from hubs where id in (select a from b) union select b.b, r.level + 1 from r join b on b.a = r.node where r.level < 25) select node, min(level) as level from r group by node")
+def reach(t):
+    """N13 N14 N28 N31"""
+    nodes = network.ends(t.lines).select("node").distinct()
+    return network.bfs(t.lines, t.hubs.select(F.col("id").alias("node")).join(nodes, "node", "left_semi"), work(t), 25).select("node", "level")
+
+
+@query("""with recursive two as (select min(line_id) as a, max(line_id) as b from (select src as node, line_id from lines union all select dst, line_id from lines) e group by node having count(*) = 2 and min(line_id) <> max(line_id)),
+s as (select a, b from two union all select b, a from two), r(a, b) as (select line_id, line_id from lines union select r.a, s.b from r join s on r.b = s.a) select a as line_id, min(b) as chain from r group by a""")
+def unsplit_chains(t):
+    """G29 N24 N36 N38"""
+    return network.chains(t.lines, work(t))
+
+
+@query(None)
+def stream_order(t):
+    """N26"""
+    return network.strahler(t.lines, work(t))
+
+
+@query(None)
+def spanning_forest(t):
+    """N29 W11"""
+    return network.spanning_forest(t.lines, work(t))
+
+
+@query("select node, count(*) as degree from (select src as node from lines union all select dst from lines) e group by node")
+def node_degrees(t):
+    """N02 N34"""
+    return network.degrees(t.lines)
+
+
+# --- gaps, heights, land use -----------------------------------------------------------------
+
+
+@query(None)
+def gap_candidates(t):
+    """L01 L03 L05 L06 L09 N40"""
+    return gaps.candidates(t.lines, 250, 3, work(t)).select("a_id", "b_id", "d2", F.round(F.col("angle") * 1000).cast(L).alias("angle_mdeg"))
+
+
+@query(None)
+def gap_acceptance(t):
+    """L04 L08 L11 L12 L13 L14 L15 L19 W06"""
+    w = gaps.winners(work(t).put(gaps.candidates(t.lines, 250, 3, work(t))))
+    a = gaps.accept(w)
+    return w.join(a, ["a_id", "b_id"]).select("a_id", "b_id", "source", gaps.edit_operation(F.col("source")).alias("operation"), F.round(F.col("score") * 1000000).cast(L).alias("score_ppm"), "accepted", "reason")
+
+
+@query("select line_id, case when abs(z1 - z2) < 3 then 'skip' when z1 < z2 then 'flip' else 'keep' end as action, z2 - z1 <= 2 as passes from (select line_id, src * 7 % 23 as z1, dst * 7 % 23 as z2 from lines) q")
+def orient_lines(t):
+    """Z03 L10 N25"""
+    d = t.lines.select("line_id", (F.col("src") * 7 % 23).alias("z1"), (F.col("dst") * 7 % 23).alias("z2"))
+    return d.select("line_id", elevation.orientation(F.col("z1"), F.col("z2"), 3).alias("action"), elevation.gate(F.col("z1"), F.col("z2"), 2).alias("passes"))
+
+
+@query("with recursive e as (select a.id as a, b.id as b from landuse a join landuse b on a.category = b.category and ((a.col = b.col and abs(a.row - b.row) = 1) or (a.row = b.row and abs(a.col - b.col) = 1))), r(a, b) as (select id, id from landuse union select r.a, e.b from r join e on r.b = e.a) select a as id, min(b) as part from r group by a")
+def dissolve_landuse(t):
+    """A01 A02 A03 K24 K25"""
+    return overlay.dissolve_cells(t.landuse, work(t))
+
+
+@query("""with recursive e as (select a.id as a, b.id as b from landuse a join landuse b on a.category = b.category and ((a.col = b.col and abs(a.row - b.row) = 1) or (a.row = b.row and abs(a.col - b.col) = 1))), r(a, b) as (select id, id from landuse union select r.a, e.b from r join e on r.b = e.a),
+p as (select l.id, l.col, l.row, l.category, q.part from landuse l join (select a as id, min(b) as part from r group by a) q on q.id = l.id), n as (select part, category, count(*) as n from p group by 1, 2),
+border as (select a.part, b.part as other, count(*) as len from p a join p b on a.part <> b.part and ((a.col = b.col and abs(a.row - b.row) = 1) or (a.row = b.row and abs(a.col - b.col) = 1)) group by 1, 2),
+best as (select part, category as new from (select b.part, n.category, row_number() over (partition by b.part order by b.len desc, b.other) as k from border b join n on n.part = b.other and n.n >= 4 join n s on s.part = b.part and s.n < 4) q where k = 1)
+select p.id, coalesce(best.new, p.category) as category from p left join best on best.part = p.part""")
+def eliminate_small_parts(t):
+    """J26 J27 K08 K09 K10 K28 K31 K32"""
+    return overlay.eliminate_small(t.landuse, work(t).put(overlay.dissolve_cells(t.landuse, work(t))), 4)
+
+
+@query("""with recursive e as (select a.id as a, b.id as b from boxes a join boxes b on a.xmin <= b.xmax and b.xmin <= a.xmax and a.ymin <= b.ymax and b.ymin <= a.ymax), r(a, b) as (select id, id from boxes union select r.a, e.b from r join e on r.b = e.a),
+c as (select a as id, min(b) as part from r group by a) select c.part, count(*) as members, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from c join boxes b on b.id = c.id group by c.part""")
+def aggregate_polygons(t):
+    """A02 G41 K07 K29"""
+    p = overlay.dissolve_boxes(t.boxes, work(t)).join(t.boxes, "id")
+    return p.groupBy("part").agg(F.count(F.lit(1)).alias("members"), F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
+
+
+@query("select col, row, count(*) as n from (select x // 500 as col, y // 500 as row from pts) q group by 1, 2 having count(*) >= 5")
+def overlap_counts(t):
+    """J18 K20"""
+    return overlay.overlap_counts(t.pts.select(F.floor(F.col("x") / 500).alias("col"), F.floor(F.col("y") / 500).alias("row")), 5)
+
+
+@query("select date_trunc('hour', ts) as start, event_type, count(*) as n, sum(cast(round(value * 100) as bigint)) as total from events group by 1, 2")
+def event_windows(t):
+    """A21 R14 streaming replay, as a batch"""
+    return windowed_counts(t.events)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queries["isolated_line_removal"](spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
