@@ -11,7 +11,6 @@ The fingerprint that is stored has FIRST cells; many sketches are peeled at once
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Iterator
@@ -100,11 +99,11 @@ class Sketches:
         parts = [np.concatenate(x) for x in zip(*got, strict=True)] if got else [np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)]
         return (*parts, done)
 
-    def text(self, i: int, n_keys: int) -> str:
+    def stored(self, i: int, n_keys: int) -> bytes:
         """The stored form: cells, keys, and the arrays of one sketch."""
         s = slice(i * self.cells, (i + 1) * self.cells)
-        raw = np.array([self.cells, n_keys], "<u4").tobytes() + self.count[s].astype("<i4").tobytes() + self.keys[s].astype("<u8").tobytes() + self.checks[s].astype("<u4").tobytes()
-        return base64.b85encode(raw).decode()
+        raw = np.array([self.cells, n_keys], "<u4").tobytes() + self.count[s].astype("<i2").tobytes() + self.keys[s].astype("<u8").tobytes() + self.checks[s].astype("<u4").tobytes()
+        return raw
 
 
 def sketches(keys: list[np.ndarray], cells: int) -> Sketches:
@@ -151,15 +150,15 @@ def compare(rows: list[tuple], first: int = FIRST) -> pa.RecordBatch:
     cols = [
         pa.array([r[0] for r in rows], pa.int64()),
         pa.array([len(r[1]) for r in rows], pa.int64()),
-        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in new]),
-        pa.array([own.text(i, len(k)) for i, k in enumerate(sets[0])]),
-        pa.array([changed.text(i, len(k)) for i, k in enumerate(sets[1])]),
+        pa.array([hashlib.sha256(x.encode()).digest() for x in new], pa.binary()),
+        pa.array([own.stored(i, len(k)) for i, k in enumerate(sets[0])], pa.binary()),
+        pa.array([changed.stored(i, len(k)) for i, k in enumerate(sets[1])], pa.binary()),
         *(pa.array(x, pa.float64()) for x in near),
     ]
     return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
-OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+OUT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 #: Characters of documents that are compared at once.
 CHUNK = 1_500_000
 
@@ -167,8 +166,8 @@ CHUNK = 1_500_000
 def edit_fingerprints(docs: DataFrame, n: int | None = None, first: int = FIRST) -> DataFrame:
     """Fingerprint of each text and of its edited text, and their likeness to it and to the next document.
 
-    The next document follows in (doc_id, text) order, null ids first; the first
-    follows the last. A null text is empty. One row for each row of docs; the only
+    The next document follows in order of doc_id, of repeated ids by a hash of the
+    text, null ids first; the first follows the last. A null text is empty. One row for each row of docs; the only
     document is its own next.
 
     Documents are range-partitioned once. Inside a partition each meets its next
@@ -176,46 +175,46 @@ def edit_fingerprints(docs: DataFrame, n: int | None = None, first: int = FIRST)
     meet each other in a second, far smaller pass of the same kind.
     """
     ws = Workspace(docs.sparkSession, "fingerprints")
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return _next_pass(d, ws, n or partitions(docs.sparkSession), first)
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("tie"))
+    out = _next_pass(d, ws, n or partitions(docs.sparkSession), first)
+    return out.withColumns({"edited_sha256": F.lower(F.hex("edited_sha256")), "fingerprint": F.base64("fingerprint"), "edited_fingerprint": F.base64("edited_fingerprint")})
 
 
 def _next_pass(d: DataFrame, ws: Workspace, n: int, first: int) -> DataFrame:
-    kind = T.StructType([*T.StructType.fromDDL(OUT).fields, *T.StructType.fromDDL("gq_first boolean, gq_last boolean, gq_text string").fields])
+    kind = T.StructType([*T.StructType.fromDDL(OUT).fields, *T.StructType.fromDDL("gq_first boolean, gq_last boolean, gq_text string, gq_tie long").fields])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def aside(doc, text, is_first, is_last) -> pa.RecordBatch:
-            none = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), *none, pa.array([is_first]), pa.array([is_last]), pa.array([text])], names=kind.names)
+        def aside(doc, text, tie, is_first, is_last) -> pa.RecordBatch:
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
+            return pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), *none, pa.array([is_first]), pa.array([is_last]), pa.array([text]), pa.array([tie], pa.int64())], names=kind.names)
 
         def done(rows) -> pa.RecordBatch:
             got = compare(rows, first)
-            return pa.RecordBatch.from_arrays([*got.columns, *(pa.nulls(len(rows), t) for t in (pa.bool_(), pa.bool_(), pa.string()))], names=kind.names)
+            return pa.RecordBatch.from_arrays([*got.columns, *(pa.nulls(len(rows), t) for t in (pa.bool_(), pa.bool_(), pa.string(), pa.int64()))], names=kind.names)
 
         last, rows, size, head = None, [], 0, None
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for doc, text, tie in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if last is None:
-                    head = (doc, text)
+                    head = (doc, text, tie)
                 else:
-                    rows.append((*last, text))
+                    rows.append((*last[:2], text))
                     size += len(text) + len(last[1])
                     if size >= CHUNK:
                         yield done(rows)
                         rows, size = [], 0
-                last = (doc, text)
+                last = (doc, text, tie)
         if rows:
             yield done(rows)
         if last is not None:
-            if rows or size or head is not last:
-                yield aside(*head, True, False)
+            yield aside(*head, True, False)
             yield aside(*last, False, True)
 
-    out = ws.put(d.repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(pairs, kind), "pairs")
+    out = ws.put(d.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").mapInArrow(pairs, kind), "pairs")
     inner = out.where("gq_last is null").select(*T.StructType.fromDDL(OUT).names)
     # At most two rows for each partition: the window's one task sees far fewer rows than any task above.
     edge = out.where("gq_last is not null")
-    order = Window.orderBy("doc_id", "gq_text", "gq_last")
+    order = Window.orderBy("doc_id", "gq_tie", "gq_last")
     ends = edge.withColumn("gq_next", F.lead("gq_text").over(order)).withColumn("gq_zero", F.first("gq_text").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     ends = ends.where("gq_last").select("doc_id", F.col("gq_text").alias("text"), F.coalesce("gq_next", "gq_zero").alias("next"))
     more = ends.mapInArrow(lambda batches: (compare(list(zip(*(c.to_pylist() for c in b.columns), strict=True)), first) for b in batches if b.num_rows), OUT)
