@@ -2,22 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoquill.workspace import Workspace
 
 
-def connected_components(edges: DataFrame, ws: Workspace, src: str = "src", dst: str = "dst", limit: int = 60) -> DataFrame:
+#: Edges up to which one task joins them in memory; more go through distributed rounds.
+ONE_TASK = 1_000_000
+
+
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for b in batches:
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            x, y = root(x), root(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    ids = list(parent)
+    for i in range(0, len(ids), 10_000):
+        part = ids[i : i + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], names=["id", "component"])
+
+
+def connected_components(edges: DataFrame, ws: Workspace, src: str = "src", dst: str = "dst", limit: int = 60, one_task: int = ONE_TASK) -> DataFrame:
     """(id, component) of every node that has an edge; component is the smallest id reachable.
 
-    Alternating large-star and small-star steps: each node hands its neighbours the
+    Few edges, by count, are joined by one task. Beyond, alternating large-star and small-star steps: each node hands its neighbours the
     smallest node it knows, so chains halve and hubs only ever keep one edge for each
     neighbour. Minima are summed up before they are shuffled; every round is a
     written table. Loops and null ends are ignored; a node with a loop only is left out.
     """
-    e = edges.where(f"{src} is not null and {dst} is not null and {src} <> {dst}").select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).distinct()
+    e = edges.where(f"{src} is not null and {dst} is not null and {src} <> {dst}").select(F.greatest(src, dst).cast("bigint").alias("a"), F.least(src, dst).cast("bigint").alias("b"))
     e = ws.put(e, "edges")
+    if e.count() <= one_task:
+        return e.coalesce(1).mapInArrow(_union_find, "id long, component long")
+    e = ws.put(e.distinct(), "edges")
     known = None
     for _ in range(limit):
         seen = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
