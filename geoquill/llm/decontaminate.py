@@ -14,7 +14,6 @@ large the benchmark is. Documents are never shuffled.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -241,10 +240,10 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = 10, bloc
         if first:
             out, first = ws.put(out, "block"), False
         both = out.withColumn("gq_key", F.sha2(F.col("text").cast("binary"), 256)).join(ws.put(rest, "rest"), "gq_key", "left")
-        e = "transform(array_sort(arrays_zip(concat(gq_begin, x.b) as b, concat(gq_end, x.e) as e)), s -> named_struct('b', s.b, 'e', s.e))"
+        e = "array_sort(zip_with(concat(gq_begin, x.b), concat(gq_end, x.e), (b, e) -> named_struct('b', b, 'e', e)))"
         merged = f"aggregate({e}, cast(array() as array<struct<b:int,e:int>>), (a, s) -> case when size(a) > 0 and s.b <= element_at(a, -1).e then concat(slice(a, 1, size(a) - 1), array(named_struct('b', element_at(a, -1).b, 'e', greatest(element_at(a, -1).e, s.e)))) else concat(a, array(s)) end)"
         out = ws.put(
-            both.withColumn("m", F.when(F.col("x").isNull(), F.arrays_zip(F.col("gq_begin").alias("b"), F.col("gq_end").alias("e"))).otherwise(F.expr(merged)))
+            both.withColumn("m", F.when(F.col("x").isNull(), F.expr("zip_with(gq_begin, gq_end, (b, e) -> named_struct('b', b, 'e', e))")).otherwise(F.expr(merged)))
             .withColumns({"gq_begin": F.col("m.b"), "gq_end": F.col("m.e"), "gq_items": F.when(F.col("x").isNull(), F.col("gq_items")).otherwise(F.array_sort(F.array_union("gq_items", F.col("x.i"))))})
             .drop("gq_key", "x", "m"),
             "block",
@@ -269,7 +268,3 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, block_wor
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = 1_000_000) -> DataFrame:
     """Rows of docs, with their columns, that hold no window of any item."""
     return contaminated_spans(docs, items, window, block_words).where("size(gq_items) = 0").select(*docs.columns)
-
-
-def items_digest(items: list[int]) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
