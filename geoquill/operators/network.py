@@ -157,3 +157,25 @@ def spanning_forest(lines: DataFrame, ws: Workspace, weight: str = "length_cm",
 
 def kruskal_rank(accepted: DataFrame, order: list[str]) -> DataFrame:
     return accepted.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
+def prune_dead_ends(lines: DataFrame, ws: Workspace, least: int, limit: int = 50) -> DataFrame:
+    """Lines without dead ends shorter than least, again and again until none is left; lone lines count as dead ends."""
+    cur = ws.put(lines, "lines")
+    for _ in range(limit):
+        short = ends(cur).groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("line_id").alias("line_id")).where("n = 1").select("line_id").distinct().join(cur.where(F.col("length_cm") < least).select("line_id"), "line_id", "left_semi")
+        gone = ws.put(short, "gone")
+        if gone.isEmpty():
+            break
+        new = ws.put(cur.join(gone, "line_id", "left_anti").select(*lines.columns), "lines")
+        ws.drop(cur)
+        cur = new
+    return cur
+
+
+def collapse_rings(lines: DataFrame, rings: DataFrame) -> DataFrame:
+    """(line_id, src, dst) with the nodes of each ring (ring, node) replaced by the ring's smallest node; what joins a ring to itself goes."""
+    to = rings.join(rings.groupBy("ring").agg(F.min("node").alias("centre")), "ring").select("node", "centre")
+    a, b = to.toDF("src", "s"), to.toDF("dst", "d")
+    out = lines.join(a, "src", "left").join(b, "dst", "left").select("line_id", F.coalesce("s", "src").alias("src"), F.coalesce("d", "dst").alias("dst"), (F.col("s").isNotNull() & (F.col("s") == F.col("d"))).alias("inside"))
+    return out.where("inside is null or not inside").drop("inside")

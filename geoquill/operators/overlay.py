@@ -87,3 +87,21 @@ def count_features(a: DataFrame, b: DataFrame, size: int = 200) -> DataFrame:
 def top_one(df: DataFrame, group: list[str], order: list) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def covered_cells(boxes: DataFrame, size: int) -> DataFrame:
+    """(id, col, row) of grid cells that a box meets with area."""
+    last = lambda c: F.ceil(F.col(c) / size).cast("bigint") - 1
+    first = lambda c: F.floor(F.col(c) / size).cast("bigint")
+    out = boxes.select("id", "ymin", "ymax", F.explode(F.sequence(first("xmin"), last("xmax"))).alias("col"))
+    return out.select("id", "col", F.explode(F.sequence(first("ymin"), last("ymax"))).alias("row"))
+
+
+def erase(cells: DataFrame, mask: DataFrame) -> DataFrame:
+    """Cells (id, col, row) outside the mask's."""
+    return cells.join(mask.select("col", "row").distinct(), ["col", "row"], "left_anti").select("id", "col", "row")
+
+
+def identity(cells: DataFrame, other: DataFrame) -> DataFrame:
+    """(id, col, row, other): each cell with every feature of other that covers it, or null."""
+    return cells.join(other.select(F.col("id").alias("other"), "col", "row"), ["col", "row"], "left").select("id", "col", "row", "other")

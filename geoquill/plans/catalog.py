@@ -678,6 +678,132 @@ def event_windows(t):
     return windowed_counts(t.events)
 
 
+# --- more of the composite steps -------------------------------------------------------------
+
+_CELLS = """c as (select id, unnest(range(cast(floor(xmin / 100.0) as bigint), cast(ceil(xmax / 100.0) as bigint))) as col, ymin, ymax from boxes),
+d as (select id, col, unnest(range(cast(floor(ymin / 100.0) as bigint), cast(ceil(ymax / 100.0) as bigint))) as row from c)"""
+
+
+@query(f"with {_CELLS} select id, col, row from d where id % 2 = 1 and not exists (select 1 from d e where e.id % 2 = 0 and e.col = d.col and e.row = d.row)")
+def erase_overlay(t):
+    """J20 K33 Q42"""
+    c = overlay.covered_cells(t.boxes, 100)
+    return overlay.erase(c.where("id % 2 = 1"), c.where("id % 2 = 0"))
+
+
+@query(f"with {_CELLS} select a.id, a.col, a.row, b.id as other from (select * from d where id % 2 = 1) a left join (select * from d where id % 2 = 0) b on a.col = b.col and a.row = b.row")
+def identity_overlay(t):
+    """J17"""
+    c = overlay.covered_cells(t.boxes, 100)
+    return overlay.identity(c.where("id % 2 = 1"), c.where("id % 2 = 0"))
+
+
+@query("select l.id, (select count(*) from boxes b where b.id <> l.id and b.class = l.class and b.xmin < l.xmax and l.xmin < b.xmax and b.ymin < l.ymax and l.ymin < b.ymax) as same_class from boxes l where l.id % 3 = 0")
+def conflicts_in_class(t):
+    """K15 K20 Q43"""
+    k = t.boxes.select("id", "class")
+    p = overlay.intersections(t.boxes.where("id % 3 = 0"), t.boxes).where("a_id <> b_id").join(k.toDF("a_id", "ca"), "a_id").join(k.toDF("b_id", "cb"), "b_id").where("ca = cb")
+    n = p.groupBy(F.col("a_id").alias("id")).agg(F.count(F.lit(1)).alias("same_class"))
+    return t.boxes.where("id % 3 = 0").select("id").join(n, "id", "left").select("id", F.coalesce("same_class", F.lit(0)).alias("same_class"))
+
+
+@query("select line_id, case category when 'E' then 1 when 'R' then 2 when 'F' then 3 when 'K' then 4 when 'P' then 5 when 'S' then 6 end + case class % 2 when 0 then 1 else 2 end as score from lines")
+def road_scores(t):
+    """A26"""
+    cat = F.element_at(F.create_map(*[F.lit(x) for k, v in enumerate("ERFKPS", 1) for x in (v, k)]), F.col("category"))
+    return t.lines.select("line_id", (cat + F.when(F.col("class") % 2 == 0, 1).otherwise(2)).alias("score"))
+
+
+@query("select objtype, max(n) as most, min(case when n = m then cell end) as at_cell from (select objtype, cell, n, max(n) over (partition by objtype) as m from (select objtype, (x // 1000) * 100 + y // 1000 as cell, count(*) as n from pts group by 1, 2) q) r group by objtype")
+def peak_partition(t):
+    """A20 A25"""
+    c = t.pts.groupBy("objtype", (F.floor(F.col("x") / 1000) * 100 + F.floor(F.col("y") / 1000)).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    return c.groupBy("objtype").agg(F.max("n").alias("most"), F.max_by("cell", F.struct("n", -F.col("cell"))).alias("at_cell"))
+
+
+@query("with p as (select line_id, length_cm as l, greatest(1, length_cm // 4000) as n from lines) select line_id, i as place, cast(round(cast(l as double) * i / (n + 1)) as bigint) as at_cm from (select *, unnest(range(1, n + 1)) as i from p) q")
+def interior_points(t):
+    """G19 G25"""
+    n = F.greatest(F.lit(1), F.floor(F.col("length_cm") / 4000))
+    d = t.lines.select("line_id", "length_cm", n.alias("n"), F.explode(F.sequence(F.lit(1).cast(L), n)).alias("place"))
+    return d.select("line_id", "place", F.round(F.col("length_cm").cast("double") * F.col("place") / (F.col("n") + 1)).cast(L).alias("at_cm"))
+
+
+@query("select id, substr(md5(concat(objtype, ':', cast(id as varchar))), 1, 8) as short_key, concat(cast(id % 3 as varchar), ',', cast(id % 5 as varchar)) as list, (id % 3) + (id % 5) as total, regexp_matches(objtype, '^[A-M]') as early from pts")
+def key_functions(t):
+    """M03 M07 M08"""
+    parts = F.array((F.col("id") % 3).cast("string"), (F.col("id") % 5).cast("string"))
+    text = F.array_join(parts, ",")
+    total = F.aggregate(F.transform(F.split(text, ","), lambda x: x.cast(L)), F.lit(0).cast(L), lambda a, x: a + x)
+    return t.pts.select("id", F.substring(F.md5(F.concat("objtype", F.lit(":"), F.col("id").cast("string")).cast("binary")), 1, 8).alias("short_key"), text.alias("list"), total.alias("total"), F.col("objtype").rlike("^[A-M]").alias("early"))
+
+
+@query("select distinct l.line_id from lines l join (select node from (select src as node from lines union all select dst from lines) e group by node having count(*) = 1) d on d.node in (l.src, l.dst) where l.length_cm < 12000")
+def short_dead_ends(t):
+    """The first round"""
+    return network.dangles(t.lines).join(t.lines.where("length_cm < 12000").select("line_id"), "line_id", "left_semi").select("line_id").distinct()
+
+
+@query(None)
+def pruned_network(t):
+    """Rounds to the fixed point"""
+    return network.prune_dead_ends(t.lines.select("line_id", "src", "dst", "length_cm"), work(t), 12000)
+
+
+@query("select count(*) as triangles from (select distinct l1.src, l1.dst, l2.dst from lines l1 join lines l2 on l1.dst = l2.src join lines l3 on l3.src = l1.src and l3.dst = l2.dst) q")
+def directed_triangles(t):
+    """N06 N33"""
+    a, b, c = t.lines.select(F.col("src").alias("a"), F.col("dst").alias("b")), t.lines.select(F.col("src").alias("b"), F.col("dst").alias("c")), t.lines.select(F.col("src").alias("a"), F.col("dst").alias("c"))
+    return a.join(b, "b").join(c, ["a", "c"]).select("a", "b", "c").distinct().agg(F.count(F.lit(1)).alias("triangles"))
+
+
+@query("select line_id, case when src - src % 8 = dst - dst % 8 then null else src - src % 8 end as src, case when src - src % 8 = dst - dst % 8 then null else dst - dst % 8 end as dst from lines where src - src % 8 <> dst - dst % 8")
+def collapse_rings(t):
+    """Groups of eight nodes stand in for rings"""
+    nodes = network.ends(t.lines).select("node").distinct()
+    base = nodes.select((F.col("node") - F.col("node") % 8).alias("node")).unionByName(nodes).distinct()
+    return network.collapse_rings(t.lines.select("line_id", "src", "dst"), base.withColumn("ring", F.col("node") - F.col("node") % 8))
+
+
+@query("""select id, cast(round(hx + 100 * ux) as bigint) as x, cast(round(hy + 100 * uy) as bigint) as y from (select a.id, h.x as hx, h.y as hy,
+case when a.x = h.x and a.y = h.y then 1.0 else (a.x - h.x) / sqrt(cast((a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) as double)) end as ux, case when a.x = h.x and a.y = h.y then 0.0 else (a.y - h.y) / sqrt(cast((a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) as double)) end as uy,
+row_number() over (partition by a.id order by (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y), h.id) as r from pts a join hubs h on (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) < 10000) q where r = 1""")
+def push_away(t):
+    """Points nearer than 100 move to 100 from the hub"""
+    near = spatial.nearest(t.pts, t.hubs, 1, 100).where("d2 < 10000")
+    d = near.join(t.pts.select(F.col("id").alias("a_id"), "x", "y"), "a_id").join(t.hubs.select(F.col("id").alias("b_id"), F.col("x").alias("hx"), F.col("y").alias("hy")), "b_id")
+    n = F.sqrt(F.col("d2").cast("double"))
+    ux, uy = F.when(n == 0, 1.0).otherwise((F.col("x") - F.col("hx")) / n), F.when(n == 0, 0.0).otherwise((F.col("y") - F.col("hy")) / n)
+    return d.select(F.col("a_id").alias("id"), F.round(F.col("hx") + 100 * ux).cast(L).alias("x"), F.round(F.col("hy") + 100 * uy).cast(L).alias("y"))
+
+
+@query("""select a.objtype as a_type, b.objtype as b_type, count(*) as hits, count(*) >= 10 as parallel from pts a join pts b on a.objtype <> b.objtype and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2500 group by 1, 2""")
+def parallel_rule(t):
+    """Q40 K39"""
+    k = t.pts.select("id", "objtype")
+    p = spatial.within_distance(t.pts, t.pts, 50).join(k.toDF("a_id", "a_type"), "a_id").join(k.toDF("b_id", "b_type"), "b_id").where("a_type <> b_type")
+    n = p.groupBy("a_type", "b_type").agg(F.count(F.lit(1)).alias("hits"))
+    return n.withColumn("parallel", F.col("hits") >= 10)
+
+
+@query("select line_id, case when class is null then 10 else class end as hierarchy, case when length_cm <= 12000 then 'drop' when length_cm > 14000 then 'keep' else 'check' end as noise from lines")
+def class_rules(t):
+    """Q20 Q11"""
+    return t.lines.select("line_id", F.coalesce("class", F.lit(10)).alias("hierarchy"), F.when(F.col("length_cm") <= 12000, "drop").when(F.col("length_cm") > 14000, "keep").otherwise("check").alias("noise"))
+
+
+@query(None)
+def simplified_chains(t):
+    """Kernels over each connected line's nodes in order"""
+    from geoquill.functions import kernels
+
+    chain = network.chains(t.lines, work(t)).join(t.lines, "line_id")
+    pts = chain.select("chain", F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p"))
+    line = pts.select("chain", F.struct(F.col("p.x").cast("double").alias("x"), F.col("p.y").cast("double").alias("y")).alias("p")).distinct().groupBy("chain").agg(F.array_sort(F.collect_list("p")).alias("line"))
+    d = line.withColumn("simple", kernels.line_udf(kernels.simplify, 60.0)("line")).withColumn("smooth", kernels.line_udf(kernels.smooth, 300.0)("simple"))
+    return d.select("chain", F.size("line").alias("vertices"), F.size("simple").alias("kept"), F.floor(geometry.line_length(F.col("smooth"))).alias("length"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _queries["isolated_line_removal"](spark, sf_dir)
 
