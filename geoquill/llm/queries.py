@@ -9,9 +9,13 @@ from geoquill.llm import archives, conversations, decontaminate, fingerprints, k
 from geoquill.workspace import Workspace
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # rows of whole texts: few of them at a time go to Python
+def small_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts: few of them at a time go to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
