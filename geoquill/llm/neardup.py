@@ -26,11 +26,13 @@ from geoquill.workspace import Workspace
 
 BASE, RATE = 1.1, 20.0
 ROWS, BANDS = 7, 36
-REGISTERS = ROWS * BANDS
-_MULT = np.random.default_rng(20).integers(1, 2**63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Registers: those of the bands, and more for the estimate.
+BANDED = ROWS * BANDS
+REGISTERS = 3 * BANDED
+_MULT = np.random.default_rng(20).integers(1, 2**31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 #: Standard errors of the estimate by which a pair may fall short of the threshold and still be confirmed.
-SLACK = 5.0
+SLACK = 4.0
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -49,17 +51,17 @@ def shingle_set(text: bytes | None, k: int) -> np.ndarray:
 
 
 def registers(keys: np.ndarray) -> np.ndarray:
-    low = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(keys), 1024):
-        np.minimum(low, (keys[i : i + 1024, None] * _MULT).min(axis=0), out=low)
-    value = -np.log1p(-(low.astype(np.float64) + 1) / 2.0**64 * (1 - 1e-12)) / RATE
+    low, keys = np.full(REGISTERS, 2**32 - 1, np.uint32), (keys >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(keys), 256):
+        np.minimum(low, (keys[i : i + 256, None] * _MULT).min(axis=0), out=low)
+    value = -np.log1p(-(low.astype(np.float64) + 0.5) / 2.0**32) / RATE
     return np.clip(np.floor(1 - np.log(value) / np.log(BASE)), 0, 255).astype(np.uint8)
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One key for each band: its registers and its number, side by side in 62 bits."""
     out = np.arange(BANDS, dtype=np.int64)
-    for column in regs.reshape(BANDS, ROWS).T:
+    for column in regs[:BANDED].reshape(BANDS, ROWS).T:
         out = (out << 8) | column
     return out
 
@@ -90,18 +92,26 @@ def _signature(n: int, regs: np.ndarray) -> bytes:
 
 
 def plausible(percent: int):
-    """Whether two signatures may have the similarity, SLACK standard errors taken off, and set sizes that allow it."""
+    """Whether two signatures may have the similarity, SLACK standard errors taken off, and set sizes that allow it.
+
+    Sets of that similarity agree in a register with a chance that hardly depends
+    on their sizes, so pairs with too few equal registers need no estimate.
+    """
     t = percent / 100
+    equal = 1 + 2 * np.log1p(-(1 - t) / 2 * (BASE - 1) / BASE) / np.log(BASE) - 0.01
+    least = [m * equal - (SLACK + 1) * np.sqrt(m * equal * (1 - equal)) for m in (BANDED, REGISTERS)]
+    cut = t - SLACK * np.sqrt(t * (1 - t) / REGISTERS)
 
     def may(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         n_a, n_b = (np.ascontiguousarray(x[:, :4]).view("<u4")[:, 0].astype(np.float64) for x in (a, b))
-        fits = np.minimum(n_a, n_b) >= t * np.maximum(n_a, n_b)
+        at = np.flatnonzero(np.minimum(n_a, n_b) >= t * np.maximum(n_a, n_b))
+        at = at[(a[at, 4 : 4 + BANDED] == b[at, 4 : 4 + BANDED]).sum(axis=1) >= least[0]]
+        ra, rb = a[at, 4:], b[at, 4:]
+        enough = (ra == rb).sum(axis=1) >= least[1]
+        at, ra, rb = at[enough], ra[enough], rb[enough]
         out = np.zeros(len(a), bool)
-        at = np.flatnonzero(fits)
         if len(at):
-            ra, rb = a[at, 4:], b[at, 4:]
-            j = estimate(n_a[at], n_b[at], (ra > rb).sum(axis=1), (ra < rb).sum(axis=1))
-            out[at] = j >= t - SLACK * np.sqrt(t * (1 - t) / REGISTERS)
+            out[at] = estimate(n_a[at], n_b[at], (ra > rb).sum(axis=1), (ra < rb).sum(axis=1)) >= cut
         return out
 
     return may
