@@ -70,29 +70,67 @@ def _verified(pairs: DataFrame, payloads: DataFrame, prepare: Callable, same: Ca
     return rows.mapInArrow(compare, "a long, b long")
 
 
-def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
-    """Plausible pairs of different groups among members (key, id, c) of the buckets that are left."""
+def _blocks(m: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(key, i, j, id, c, own, sig): members (key, id, c) once for each pair of blocks (i <= j) of their bucket that has theirs (own)."""
     spans = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     rows = m.join(spans, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     rows = rows.join(sigs, "id").select("key", "i", "j", "id", "c", "own", "sig")
+    return rows.repartition(partitions(m.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _chunked(sig: np.ndarray, i: np.ndarray, j: np.ndarray, plausible: Callable) -> np.ndarray:
+    """plausible of rows i and j of sig, some megabytes at a time."""
+    n = max(1, 4_000_000 // max(1, sig.shape[1]))
+    return np.concatenate([plausible(sig[i[k : k + n]], sig[j[k : k + n]]) for k in range(0, len(i), n)]) if len(i) else np.zeros(0, bool)
+
+
+def _screen(b: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
+    """ids of members (key, id) that have a plausible partner in a bucket; whole buckets are compared, no pair leaves a task."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+
+        def found() -> set[int]:
+            sig = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1)
+            own = np.array([r[2] for r in rows])
+            i, j = np.triu_indices(len(rows), 1)
+            if group[1] != group[2]:
+                i, j = (x[own[i] != own[j]] for x in (i, j))
+            may = _chunked(sig, i, j, plausible)
+            return {rows[k][0] for k in np.union1d(i[may], j[may])}
+
+        for batch in batches:
+            ids: set[int] = set()
+            for key, i, j, id_, _, own, sig in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if (key, i, j) != group:
+                    if group:
+                        ids |= found()
+                    group, rows = (key, i, j), []
+                rows.append((id_, sig, own))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], names=["id"])
+        if group:
+            yield pa.RecordBatch.from_arrays([pa.array(found(), pa.int64())], names=["id"])
+
+    return _blocks(b.withColumn("c", F.col("id")), sigs).mapInArrow(look, "id long").distinct()
+
+
+def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
+    """Plausible pairs of different groups among members (key, id, c) of the buckets that are left."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, left, right = None, [], []
 
         def found() -> pa.RecordBatch:
-            x, y = (left, right) if group[1] != group[2] else (left, left)
-            out: tuple[list, list] = ([], [])
-            if x and y:
-                sx, sy = (np.frombuffer(b"".join(r[2] for r in k), np.uint8).reshape(len(k), -1) for k in (x, y))
-                cy, iy = (np.array([r[k] for r in y]) for k in (1, 0))
-                for k, (i, c, _) in enumerate(x):
-                    may = np.flatnonzero((cy != c) & (iy > i if x is y else True))
-                    if len(may):
-                        may = may[plausible(np.broadcast_to(sx[k], (len(may), sx.shape[1])), sy[may])]
-                    out[0].extend([i] * len(may))
-                    out[1].extend(iy[may].tolist())
-            return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()) for k in out], names=["a", "b"])
+            x = left + right
+            c, ids, mine = (np.array([r[k] for r in x]) for k in (1, 0, 3))
+            sig = np.frombuffer(b"".join(r[2] for r in x), np.uint8).reshape(len(x), -1)
+            look_at = (c[:, None] != c) & (ids[:, None] < ids)
+            if group[1] != group[2]:
+                look_at &= mine[:, None] != mine
+            i, j = np.nonzero(look_at)
+            may = _chunked(sig, i, j, plausible)
+            return pa.RecordBatch.from_arrays([pa.array(ids[k[may]], pa.int64()) for k in (i, j)], names=["a", "b"])
 
         for b in batches:
             for key, i, j, id_, c, own, sig in zip(*(x.to_pylist() for x in b.columns), strict=True):
@@ -100,28 +138,37 @@ def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame
                     if group:
                         yield found()
                     group, left, right = (key, i, j), [], []
-                (left if own == i else right).append((id_, c, sig))
+                (left if own == i else right).append((id_, c, sig, own))
         if group:
             yield found()
 
-    n = partitions(m.sparkSession)
-    pairs = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(look, "a long, b long")
+    pairs = _blocks(m, sigs).mapInArrow(look, "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable) -> DataFrame:
+def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable, screen: bool = False) -> DataFrame:
     """(id, component) of all items that have a link.
 
     members: key, id; sigs: id, sig (binary, one length); payloads: id, payload
     (binary), or a function that gives them for a frame of ids.
     plausible(sigs, sigs) -> mask of pairs worth confirming; same(prepare(payload),
     prepare(payload)) -> whether two items are linked. Ids are longs without nulls;
-    repeated rows do no harm.
+    repeated rows do no harm. screen: look at all signatures of a bucket first and go
+    on with items that have a plausible partner, so few payloads are fetched.
     """
-    m = ws.put(members.select("key", "id"), "members")
+    # Keys are made twice rather than written: most belong to one item only.
+    m = members.select("key", "id")
     shared = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
     b = ws.put(m.join(shared, "key").select("key", "id", "n", "pivot"), "shared")
-    ws.drop(m)
+    ws.release()
+    if screen:
+        some = ws.put(_screen(b.select("key", "id"), sigs.select("id", "sig"), plausible), "screened")
+        own = b.select("key", "id").join(some, "id", "left_semi")
+        left = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
+        few = ws.put(own.join(left, "key").select("key", "id", "n", "pivot"), "shared")
+        ws.drop(b)
+        b = few
+        ws.release()
     ids = ws.put(b.select("id").distinct(), "ids")
     s = ws.put(sigs.select("id", "sig").join(ids, "id", "left_semi"), "sigs")
     pay = ws.put((payloads(ids) if callable(payloads) else payloads).select("id", "payload").join(ids, "id", "left_semi"), "payloads")
