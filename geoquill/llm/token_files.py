@@ -39,7 +39,7 @@ _PIECE = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 _RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BEFORE = ("  ", "\n ", "\t ", "\r ", "\v ", "\f ")
 #: Bounds of the cache of pieces in one Python worker.
-CACHE_PIECES, CACHE_CHARS = 700_000, 40
+CACHE_PIECES, CACHE_CHARS = 1_400_000, 40
 
 _loaded: dict[int, Encoder] = {}
 
