@@ -12,6 +12,7 @@ task. So every pair that shares a key is compared, or is in one group already.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -94,11 +95,21 @@ def _screen(b: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
         def found() -> set[int]:
             sig = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1)
             own = np.array([r[2] for r in rows])
-            i, j = np.triu_indices(len(rows), 1)
-            if group[1] != group[2]:
-                i, j = (x[own[i] != own[j]] for x in (i, j))
-            may = _chunked(sig, i, j, plausible)
-            return {rows[k][0] for k in np.union1d(i[may], j[may])}
+            n, apart = len(rows), group[1] != group[2]
+            has = np.zeros(n, bool)
+
+            def against(some: np.ndarray) -> None:
+                i, j = np.repeat(some, n), np.tile(np.arange(n), len(some))
+                fit = (i != j) & (own[i] != own[j]) if apart else i != j
+                i, j = i[fit], j[fit]
+                may = _chunked(sig, i, j, plausible)
+                has[i[may]] = has[j[may]] = True
+
+            # like items mostly meet in the first comparisons; who has a partner needs no further ones
+            for k in range(0, n, 16):
+                at = np.arange(k, min(k + 16, n))
+                against(at[~has[at]])
+            return {rows[k][0] for k in np.flatnonzero(has)}
 
         for batch in batches:
             ids: set[int] = set()
@@ -146,10 +157,10 @@ def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable, screen: bool = False) -> DataFrame:
+def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable, screen: bool = False) -> DataFrame:
     """(id, component) of all items that have a link.
 
-    members: key, id; sigs: id, sig (binary, one length); payloads: id, payload
+    members: key, id, or a list of such frames without common keys, which are joined in turn; sigs: id, sig (binary, one length); payloads: id, payload
     (binary), or a function that gives them for a frame of ids.
     plausible(sigs, sigs) -> mask of pairs worth confirming; same(prepare(payload),
     prepare(payload)) -> whether two items are linked. Ids are longs without nulls;
@@ -157,18 +168,22 @@ def groups(ws: Workspace, members: DataFrame, sigs: DataFrame, payloads: DataFra
     on with items that have a plausible partner, so few payloads are fetched.
     """
     # Keys are made twice rather than written: most belong to one item only.
-    m = members.select("key", "id")
-    shared = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-    b = ws.put(m.join(shared, "key").select("key", "id", "n", "pivot"), "shared")
-    ws.release()
-    if screen:
-        some = ws.put(_screen(b.select("key", "id"), sigs.select("id", "sig"), plausible), "screened")
-        own = b.select("key", "id").join(some, "id", "left_semi")
-        left = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-        few = ws.put(own.join(left, "key").select("key", "id", "n", "pivot"), "shared")
-        ws.drop(b)
-        b = few
+    parts = []
+    for m in members if isinstance(members, list) else [members]:
+        m = m.select("key", "id")
+        shared = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
+        b = ws.put(m.join(shared, "key").select("key", "id", "n", "pivot"), "shared")
         ws.release()
+        if screen:
+            some = ws.put(_screen(b.select("key", "id"), sigs.select("id", "sig"), plausible), "screened")
+            own = b.select("key", "id").join(some, "id", "left_semi")
+            left = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
+            few = ws.put(own.join(left, "key").select("key", "id", "n", "pivot"), "shared")
+            ws.drop(b, some)
+            b = few
+            ws.release()
+        parts.append(b)
+    b = reduce(DataFrame.unionByName, parts)
     ids = ws.put(b.select("id").distinct(), "ids")
     s = ws.put(sigs.select("id", "sig").join(ids, "id", "left_semi"), "sigs")
     pay = ws.put((payloads(ids) if callable(payloads) else payloads).select("id", "payload").join(ids, "id", "left_semi"), "payloads")

@@ -488,6 +488,46 @@ def test_dedup_lines_keeps_rows_and_columns(spark):
     assert lines.line_report(docs(spark, [])).count() == 0
 
 
+def typos(r, line, n):
+    x = list(line)
+    for _ in range(n):
+        p, c = r.randrange(len(x)), r.choice("abcdefghijklmnopqrstuvwxyz")
+        x[p : p + 1] = r.choice([[c], [c, x[p]], []]) if len(x) > 1 else [c]
+    return "".join(x)
+
+
+def found_share(pairs):
+    """The share of pairs of edit similarity 0.8 or more that are candidates."""
+    same = lines.alike(80)
+    pairs = [(a, b) for a, b in pairs if same(a, b)]
+    a, b = (lines.signatures([p[k].encode() for p in pairs]) for k in (0, 1))
+    ka, kb = lines.bucket_keys(a), lines.bucket_keys(b)
+    return (((ka == kb) & (ka >= 0)).any(axis=1) & lines.near(80)(a, b)).mean()
+
+
+def test_lines_with_typos_are_candidates():
+    r = random.Random(8)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 10))) for _ in range(3000)]
+    for n in (2, 5, 10, 20, 50, 100):
+        for share, least in ((0.0, 0.985), (0.05, 0.985), (0.1, 0.97), (0.15, 0.93), (0.2, 0.8)):
+            pairs = []
+            for _ in range(400):
+                a = " ".join(r.choice(words) for _ in range(n))
+                b = lines.normalised(typos(r, a, max(1, int(share * len(a)))).encode()).decode()
+                if b:
+                    pairs.append((a, b))
+            assert found_share(pairs) >= least, (n, share)
+
+
+def test_line_report_finds_lines_with_typos(spark):
+    r = random.Random(4)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(3, 9))) for _ in range(2000)]
+    base = [" ".join(r.choice(words) for _ in range(n)) for n in (4, 10, 20, 50, 100) for _ in range(12)]
+    rows = [(k, x) for k, x in enumerate(base)] + [(100 + k, typos(r, x, 1 + len(x) // 60)) for k, x in enumerate(base)]
+    got = {x.doc_id: x.n_dropped for x in lines.line_report(docs(spark, rows)).collect()}
+    assert [got[k] for k in range(60)] == [0] * 60 and [got[100 + k] for k in range(60)] == [1] * 60
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
