@@ -348,11 +348,21 @@ def normalise(t):
 
 @query("select line_id, row_number() over (order by coalesce(nullif(instr('ERFKPSBTDAUG', category), 0), 13), coalesce(class, 1000000000), coalesce(length_cm, 1000000000), line_id) as place from lines where src < 2000")
 def priority_order(t):
+    """Lines of the first nodes only, as its SQL; priority_order_all has all"""
+    return _priority_order(t.lines.where("src < 2000"), work(t))
+
+
+@query("select line_id, row_number() over (order by coalesce(nullif(instr('ERFKPSBTDAUG', category), 0), 13), coalesce(class, 1000000000), coalesce(length_cm, 1000000000), line_id) as place from lines")
+def priority_order_all(t):
     """T01 T03 T06 T07"""
+    return _priority_order(t.lines, work(t))
+
+
+def _priority_order(lines: DataFrame, ws: Workspace) -> DataFrame:
     from geoquill.operators.ordering import running_totals
 
-    d = t.lines.where("src < 2000").select("line_id", codes.category_rank("category").alias("r"), F.coalesce("class", F.lit(10**9)).alias("c"), F.coalesce("length_cm", F.lit(10**9)).alias("l"))
-    return running_totals(d, work(t), ["r", "c", "l", "line_id"]).select("line_id", (F.col("row_no") + 1).alias("place"))
+    d = lines.select("line_id", codes.category_rank("category").alias("r"), F.coalesce("class", F.lit(10**9)).alias("c"), F.coalesce("length_cm", F.lit(10**9)).alias("l"))
+    return running_totals(d, ws, ["r", "c", "l", "line_id"]).select("line_id", (F.col("row_no") + 1).alias("place"))
 
 
 @query("select least(src, dst) as a, greatest(src, dst) as b, min(line_id) as line_id from lines group by 1, 2")

@@ -193,3 +193,12 @@ def test_even_positions_cover_the_line(length, interval):
 
     n = 1 if length <= interval else math.ceil(length / interval)
     assert n * interval >= length * (1 - 1e-9)
+
+
+def test_whole_priority_order_places_every_line(spark):
+    from geoquill.plans import catalog
+    from geoquill.sources.fixtures import Tables
+
+    sf = "/root/testdata/sf0.01"
+    got = [x.place for x in catalog.queries()["priority_order_all"](spark, sf).collect()]
+    assert sorted(got) == list(range(1, Tables(spark, sf).lines.count() + 1))
