@@ -478,9 +478,19 @@ def snap_to_grid(t):
 
 @query("select line_id, x2 as x1, y2 as y1, x1 as x2, y1 as y2, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) > 60 as trimmed, 2 as n_vertices, cast(floor(100 * sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double))) as bigint) as length_cm from lines where src % 3 = 0")
 def line_editing(t):
+    """A third of the lines, as its SQL; line_editing_all has all"""
+    return _line_editing(t.lines.where("src % 3 = 0"))
+
+
+@query("select line_id, x2 as x1, y2 as y1, x1 as x2, y1 as y2, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) > 60 as trimmed, 2 as n_vertices, cast(floor(100 * sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double))) as bigint) as length_cm from lines")
+def line_editing_all(t):
     """G42 G43 G45 G46 G61 G62 A08"""
+    return _line_editing(t.lines)
+
+
+def _line_editing(lines: DataFrame) -> DataFrame:
     p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    d = t.lines.where("src % 3 = 0").withColumn("line", geometry.reverse_line(F.array(p("x1", "y1"), p("x2", "y2"))))
+    d = lines.withColumn("line", geometry.reverse_line(F.array(p("x1", "y1"), p("x2", "y2"))))
     line = F.col("line")
     again = geometry.replace_end(geometry.extend_end(geometry.merge_lines(line, F.slice(line, 2, 1)), line[0]), line[1])
     return d.select("line_id", line[0]["x"].alias("x1"), line[0]["y"].alias("y1"), line[1]["x"].alias("x2"), line[1]["y"].alias("y2"), geometry.trim(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], 30.0).isNotNull().alias("trimmed"), (F.size(again) - 1).alias("n_vertices"), F.floor(100 * geometry.line_length(line)).alias("length_cm"))
@@ -710,11 +720,21 @@ def identity_overlay(t):
 
 @query("select l.id, (select count(*) from boxes b where b.id <> l.id and b.class = l.class and b.xmin < l.xmax and l.xmin < b.xmax and b.ymin < l.ymax and l.ymin < b.ymax) as same_class from boxes l where l.id % 3 = 0")
 def conflicts_in_class(t):
+    """Reports a third of the boxes, as its SQL; conflicts_in_class_all reports all"""
+    return _conflicts_in_class(t.boxes.where("id % 3 = 0"), t.boxes)
+
+
+@query("select l.id, (select count(*) from boxes b where b.id <> l.id and b.class = l.class and b.xmin < l.xmax and l.xmin < b.xmax and b.ymin < l.ymax and l.ymin < b.ymax) as same_class from boxes l")
+def conflicts_in_class_all(t):
     """K15 K20 Q43"""
-    k = t.boxes.select("id", "class")
-    p = overlay.intersections(t.boxes.where("id % 3 = 0"), t.boxes).where("a_id <> b_id").join(k.toDF("a_id", "ca"), "a_id").join(k.toDF("b_id", "cb"), "b_id").where("ca = cb")
+    return _conflicts_in_class(t.boxes, t.boxes)
+
+
+def _conflicts_in_class(some: DataFrame, boxes: DataFrame) -> DataFrame:
+    k = boxes.select("id", "class")
+    p = overlay.intersections(some, boxes).where("a_id <> b_id").join(k.toDF("a_id", "ca"), "a_id").join(k.toDF("b_id", "cb"), "b_id").where("ca = cb")
     n = p.groupBy(F.col("a_id").alias("id")).agg(F.count(F.lit(1)).alias("same_class"))
-    return t.boxes.where("id % 3 = 0").select("id").join(n, "id", "left").select("id", F.coalesce("same_class", F.lit(0)).alias("same_class"))
+    return some.select("id").join(n, "id", "left").select("id", F.coalesce("same_class", F.lit(0)).alias("same_class"))
 
 
 @query("select line_id, case category when 'E' then 1 when 'R' then 2 when 'F' then 3 when 'K' then 4 when 'P' then 5 when 'S' then 6 end + case class % 2 when 0 then 1 else 2 end as score from lines")

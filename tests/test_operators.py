@@ -202,3 +202,18 @@ def test_whole_priority_order_places_every_line(spark):
     sf = "/root/testdata/sf0.01"
     got = [x.place for x in catalog.queries()["priority_order_all"](spark, sf).collect()]
     assert sorted(got) == list(range(1, Tables(spark, sf).lines.count() + 1))
+
+
+def test_line_editing_and_conflicts_cover_every_row(spark):
+    from geoquill.plans import catalog
+    from geoquill.sources.fixtures import Tables
+
+    sf = "/root/testdata/sf0.01"
+    t, q = Tables(spark, sf), catalog.queries()
+    assert q["line_editing_all"](spark, sf).count() == t.lines.count()
+    boxes = [tuple(x) for x in t.boxes.select("id", "class", "xmin", "ymin", "xmax", "ymax").collect()]
+    by_class = {}
+    for x in boxes:
+        by_class.setdefault(x[1], []).append(x)
+    want = {i: sum(b[0] != i and b[2] < xmax and xmin < b[4] and b[3] < ymax and ymin < b[5] for b in by_class[c]) for i, c, xmin, ymin, xmax, ymax in boxes}
+    assert {x.id: x.same_class for x in q["conflicts_in_class_all"](spark, sf).collect()} == want
