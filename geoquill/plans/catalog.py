@@ -608,7 +608,7 @@ def guarded_paths(t):
 
 @query("with recursive b as (select src as a, dst as b from lines union all select dst, src from lines), r(node, level) as (select id, 0 from hubs where id in (select a from b) union select b.b, r.level + 1 from r join b on b.a = r.node where r.level < 25) select node, min(level) as level from r group by node")
 def reach(t):
-    """N13 N14 N28 N31"""
+    """N13 N14"""
     nodes = network.ends(t.lines).select("node").distinct()
     return network.bfs(t.lines, t.hubs.select(F.col("id").alias("node")).join(nodes, "node", "left_semi"), work(t), 25).select("node", "level")
 
@@ -643,13 +643,13 @@ def node_degrees(t):
 
 @query(None)
 def gap_candidates(t):
-    """L01 L03 L05 L06 L09 N40"""
+    """Dangles to dangles"""
     return gaps.candidates(t.lines, 250, 3, work(t)).select("a_id", "b_id", "d2", F.round(F.col("angle") * 1000).cast(L).alias("angle_mdeg"))
 
 
 @query(None)
 def gap_acceptance(t):
-    """L04 L08 L11 L12 L13 L14 L15 L19 W06"""
+    """Rejects cycles only"""
     w = gaps.winners(work(t).put(gaps.candidates(t.lines, 250, 3, work(t))))
     a = gaps.accept(w)
     return w.join(a, ["a_id", "b_id"]).select("a_id", "b_id", "source", gaps.edit_operation(F.col("source")).alias("operation"), F.round(F.col("score") * 1000000).cast(L).alias("score_ppm"), "accepted", "reason")
