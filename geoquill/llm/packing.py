@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from geoquill.operators.ordering import running_totals
 from geoquill.workspace import Workspace
 
-#: Distinct lengths up to which boundaries may lie anywhere; beyond, they lie on a grid of so many lengths with equal counts of distinct lengths.
-LENGTHS = 1 << 16
-
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """At most `buckets` boundaries, ascending, the last being the greatest length, with the least padding.
@@ -83,11 +80,6 @@ def pack(docs: DataFrame, length: Column, buckets: int = 16, budget: int = 65_53
     d = ws.put(docs.select(*keep, length.cast("long").alias("n_tokens")), "lengths")
     hist = d.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).toArrow()
     x, c = hist.column("n_tokens").to_numpy(), hist.column("n").to_numpy()
-    if len(x) > LENGTHS:
-        edges = np.sort(x)[np.linspace(0, len(x) - 1, LENGTHS).astype(int)]
-        at = np.searchsorted(edges, x)
-        # padding inside a grid step is the same for all choices, so it isn't counted
-        x, c = edges, np.bincount(at, c, LENGTHS).astype(np.int64)
     bounds = boundaries(x, c, buckets)
     bucket = F.expr(f"element_at(filter(array({','.join(f'{b}L' for b in bounds)}), b -> b >= n_tokens), 1)") if bounds else F.col("n_tokens")
     placed = running_totals(d.withColumn("bucket_length", bucket), ws, ["doc_id", "n_tokens"], ["bucket_length"])

@@ -422,6 +422,18 @@ def test_packing(spark):
     assert packing.pack(d.limit(0), packing.word_count(d["text"])).count() == 0
 
 
+def test_packing_is_optimal_with_many_lengths(spark):
+    n = 70_000
+    # every length once, and one often that a grid of 65,536 of them leaves out
+    for odd in (30_014, 36_004):
+        counts = np.ones(n, np.int64)
+        counts[odd - 1] = 3000
+        best = packing.boundaries(np.arange(1, n + 1), counts, 2)
+        d = spark.range(1, n + 1).selectExpr("id as doc_id", f"explode(sequence(1, if(id = {odd}, 3000, 1))) as k")
+        got = packing.pack(d, d["doc_id"], buckets=2).select("bucket_length").distinct().collect()
+        assert sorted(b.bucket_length for b in got) == best
+
+
 # --- lines -----------------------------------------------------------------------------------
 
 
