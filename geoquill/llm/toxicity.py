@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word's input is its own hashed embedding beside the mean of the embeddings of
-its character trigrams. A window of WINDOW words is read forwards and backwards,
+its character trigrams. Words of more than RUN bytes, such as text without spaces,
+are read as pieces of PIECE characters, one from each character on. A window of WINDOW words is read forwards and backwards,
 attention pools the states, and a logistic unit scores the pool. Windows overlap
 by half and cover the whole text; a document scores as its worst window.
 
@@ -27,6 +28,8 @@ WORDS, GRAMS, DIM, HIDDEN = 8192, 8192, 12, 12
 #: Labelled documents of each class that are learned from, at most, and windows of one of them.
 SAMPLE, DOC_WINDOWS = 2000, 256
 THRESHOLD = 0.3
+#: Bytes of a word, at most, and characters of the pieces of longer ones.
+RUN, PIECE = 48, 2
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -48,7 +51,7 @@ class Vocabulary:
             k = self.word.get(w)
             if k is None:
                 k = self.word[w] = len(self.rows)
-                s = b"^" + w[:64] + b"$"
+                s = b"^" + w + b"$"
                 self.rows.append((xxhash.xxh3_64_intdigest(w) % WORDS, [xxhash.xxh3_64_intdigest(s[i : i + 3]) % GRAMS for i in range(max(1, len(s) - 2))]))
             out.append(k)
         return out
@@ -58,6 +61,18 @@ class Vocabulary:
         return np.array([r[0] for r in self.rows], np.int64), np.array([g for r in self.rows for g in r[1]], np.int64), np.cumsum([0, *[len(r[1]) for r in self.rows]])
 
 
+def pieces(text: bytes | None) -> list[bytes]:
+    """Words of the text; longer ones than RUN bytes as all their runs of PIECE characters."""
+    out = []
+    for w in alnum_words(text):
+        if len(w) <= RUN:
+            out.append(w)
+        else:
+            c = w.decode("utf-8", "replace")
+            out += [c[i : i + PIECE].encode() for i in range(max(1, len(c) - PIECE + 1))]
+    return out
+
+
 def windows(numbers: list[int]) -> np.ndarray:
     """Rows of WINDOW word numbers, -1 after the end; a text without words has one empty window."""
     n = len(numbers)
@@ -187,7 +202,7 @@ def train(texts: list[bytes], toxic: list[int], share: float | None = None, seed
     r, vocab, model = np.random.default_rng(seed), Vocabulary(), Model(seed)
     rows = []
     for text in texts:
-        w = windows(vocab.number(alnum_words(text)))
+        w = windows(vocab.number(pieces(text)))
         rows.append(w if len(w) <= DOC_WINDOWS else w[np.sort(r.choice(len(w), DOC_WINDOWS, False))])
     at, x, tables = np.cumsum([0, *map(len, rows)]), np.concatenate(rows), vocab.tables()
     doc = np.repeat(np.arange(len(rows)), np.diff(at))
@@ -224,7 +239,7 @@ def score_texts(model: Model | None, texts: list[bytes | None], vocab: Vocabular
     out = np.empty(len(texts))
     first, rows, size = 0, [], 0
     for i, text in enumerate(texts):
-        rows.append(windows(vocab.number(alnum_words(text))))
+        rows.append(windows(vocab.number(pieces(text))))
         size += len(rows[-1])
         if size >= 4096 or i + 1 == len(texts):
             x = np.concatenate(rows)

@@ -386,6 +386,18 @@ def test_gradient():
     assert loss() < base and any((before[k] != m.p[k]).any() for k in before)
 
 
+def test_toxicity_reads_long_runs_to_their_end():
+    for n in (1, 48, 49, 54, 55, 500):
+        w = bytes(97 + k % 26 for k in range(n))
+        assert toxicity.pieces(w) == ([w] if n <= 48 else [w[k : k + 2] for k in range(n - 1)])
+    r = random.Random(6)
+    say = lambda n: "".join(r.choice("一二三四五六七八九十百千山川田日月火水木") for _ in range(n))
+    texts = [(say(r.randrange(30, 90)) + "毒殺" * (k % 3 == 0) + say(r.randrange(20)), int(k % 3 == 0)) for k in range(660)]
+    model = toxicity.train([t.encode() for t, _ in texts[:600]], [y for _, y in texts[:600]])
+    got = toxicity.score_texts(model, [t.encode() for t, _ in texts[600:]], toxicity.Vocabulary()) >= toxicity.THRESHOLD
+    assert sum(g == y for g, (_, y) in zip(got, texts[600:], strict=True)) >= 54
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 
