@@ -25,8 +25,8 @@ from geoquill.llm.text import alnum_words
 
 WINDOW, STEP = 32, 16
 WORDS, GRAMS, DIM, HIDDEN = 8192, 8192, 12, 12
-#: Labelled documents of each class that are learned from, at most, and windows of one of them.
-SAMPLE, DOC_WINDOWS = 2000, 256
+#: Labelled documents of each class that are learned from, at most.
+SAMPLE = 2000
 THRESHOLD = 0.3
 #: Bytes of a word, at most, and characters of the pieces of longer ones.
 RUN, PIECE = 48, 2
@@ -200,10 +200,7 @@ def train(texts: list[bytes], toxic: list[int], share: float | None = None, seed
     if not 0 < y.sum() < len(y):
         return None
     r, vocab, model = np.random.default_rng(seed), Vocabulary(), Model(seed)
-    rows = []
-    for text in texts:
-        w = windows(vocab.number(pieces(text)))
-        rows.append(w if len(w) <= DOC_WINDOWS else w[np.sort(r.choice(len(w), DOC_WINDOWS, False))])
+    rows = [windows(vocab.number(pieces(text))).astype(np.int32) for text in texts]
     at, x, tables = np.cumsum([0, *map(len, rows)]), np.concatenate(rows), vocab.tables()
     doc = np.repeat(np.arange(len(rows)), np.diff(at))
     # few documents are met more often, so that every run takes a similar number of steps

@@ -398,6 +398,14 @@ def test_toxicity_reads_long_runs_to_their_end():
     assert sum(g == y for g, (_, y) in zip(got, texts[600:], strict=True)) >= 54
 
 
+def test_training_scores_every_window_of_long_documents(monkeypatch):
+    seen, score = [], toxicity.score_windows
+    monkeypatch.setattr(toxicity, "score_windows", lambda m, t, x: seen.append(len(x)) or score(m, t, x))
+    texts = [b"alpha beta " * 4000, b"gamma delta", b"alpha badword"]
+    toxicity.train(texts, [1, 0, 1], rounds=(0, 1))
+    assert set(seen) == {sum(len(toxicity.windows(list(range(n)))) for n in (8000, 2, 2))}
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 
