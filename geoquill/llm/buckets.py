@@ -168,22 +168,31 @@ def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame,
     on with items that have a plausible partner, so few payloads are fetched.
     """
     # Keys are made twice rather than written: most belong to one item only.
-    parts = []
-    for m in members if isinstance(members, list) else [members]:
+    parts, many = [], isinstance(members, list)
+    of = [F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot"), F.bit_xor(F.xxhash64("id")).alias("set")]
+
+    def once(own: DataFrame, left: DataFrame) -> DataFrame:
+        """Members of the keys that are left; of many frames, keys with the same members become one."""
+        x = own.join(left, "key")
+        return x.select(F.col("set").alias("key"), "id", "n", "pivot").dropDuplicates(["key", "id"]) if many else x.select("key", "id", "n", "pivot")
+
+    for m in members if many else [members]:
         m = m.select("key", "id")
-        shared = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-        b = ws.put(m.join(shared, "key").select("key", "id", "n", "pivot"), "shared")
+        b = ws.put(once(m, m.groupBy("key").agg(*of).where("n > 1")), "shared")
         ws.release()
         if screen:
             some = ws.put(_screen(b.select("key", "id"), sigs.select("id", "sig"), plausible), "screened")
             own = b.select("key", "id").join(some, "id", "left_semi")
-            left = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-            few = ws.put(own.join(left, "key").select("key", "id", "n", "pivot"), "shared")
+            few = ws.put(once(own, own.groupBy("key").agg(*of).where("n > 1")), "shared")
             ws.drop(b, some)
             b = few
             ws.release()
         parts.append(b)
-    b = reduce(DataFrame.unionByName, parts)
+    b = parts[0]
+    if many:
+        b = ws.put(reduce(DataFrame.unionByName, parts).dropDuplicates(["key", "id"]), "shared")
+        ws.drop(*parts)
+        ws.release()
     ids = ws.put(b.select("id").distinct(), "ids")
     s = ws.put(sigs.select("id", "sig").join(ids, "id", "left_semi"), "sigs")
     pay = ws.put((payloads(ids) if callable(payloads) else payloads).select("id", "payload").join(ids, "id", "left_semi"), "payloads")
