@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark's setting by which a query's shuffle files are removed when it ends; on while a table is written, which cuts the lineage anyway.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a folder of this machine only where that is unset (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("geoquill.local.dir", None)
@@ -35,9 +39,14 @@ class Workspace:
         return f"{self.root}/{self._n:03d}-{name}"
 
     def put(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Write df and read it back; the returned frame knows its path for drop()."""
-        path = self.path(name)
-        df.write.parquet(path)
+        """Write df and read it back; the returned frame knows its path for drop(). Shuffle files of the write go with its end."""
+        path, conf = self.path(name), self.spark.conf
+        before = conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._workspace_path = path
         return out
