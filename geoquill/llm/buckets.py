@@ -24,7 +24,7 @@ from geoquill.workspace import Workspace, partitions
 
 ROUNDS = 3
 #: Members of a block in the exhaustive comparison.
-BLOCK = 256
+BLOCK = 1024
 #: Parts that the items compared with one pivot are dealt to.
 SALT = 16
 
@@ -47,7 +47,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
 
 
-def _verified(pairs: DataFrame, payloads: DataFrame, prepare: Callable, same: Callable) -> DataFrame:
+def verified(pairs: DataFrame, payloads: DataFrame, prepare: Callable, same: Callable) -> DataFrame:
     """pairs (a, b) that same() confirms; items come to their pivot in SALT parts and stream past it."""
     n = partitions(pairs.sparkSession)
     p = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALT)).cast("int"))
@@ -126,8 +126,8 @@ def _screen(b: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
     return _blocks(b.withColumn("c", F.col("id")), sigs).mapInArrow(look, "id long").distinct()
 
 
-def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
-    """Plausible pairs of different groups among members (key, id, c) of the buckets that are left."""
+def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable, first: Callable | None = None) -> DataFrame:
+    """Plausible pairs of different groups among members (key, id, c) of the buckets that are left, each in the first key that it shares."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, left, right = None, [], []
@@ -141,7 +141,11 @@ def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame
                 look_at &= mine[:, None] != mine
             i, j = np.nonzero(look_at)
             may = _chunked(sig, i, j, plausible)
-            return pa.RecordBatch.from_arrays([pa.array(ids[k[may]], pa.int64()) for k in (i, j)], names=["a", "b"])
+            i, j = i[may], j[may]
+            if first:
+                own = _chunked(sig, i, j, lambda a, b: first(a, b, group[0]))
+                i, j = i[own], j[own]
+            return pa.RecordBatch.from_arrays([pa.array(ids[k], pa.int64()) for k in (i, j)], names=["a", "b"])
 
         for b in batches:
             for key, i, j, id_, c, own, sig in zip(*(x.to_pylist() for x in b.columns), strict=True):
@@ -157,7 +161,7 @@ def _exhaustive(m: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable, screen: bool = False) -> DataFrame:
+def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame, payloads: DataFrame | Callable, plausible: Callable, prepare: Callable, same: Callable, screen: bool = False, first: Callable | None = None) -> DataFrame:
     """(id, component) of all items that have a link.
 
     members: key, id, or a list of such frames without common keys, which are joined in turn; sigs: id, sig (binary, one length); payloads: id, payload
@@ -166,6 +170,8 @@ def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame,
     prepare(payload)) -> whether two items are linked. Ids are longs without nulls;
     repeated rows do no harm. screen: look at all signatures of a bucket first and go
     on with items that have a plausible partner, so few payloads are fetched.
+    first(sigs, sigs, key) -> mask of pairs of which key is the first that they share;
+    without it pairs leave the exhaustive comparison once for each key they share.
     """
     # Keys are made twice rather than written: most belong to one item only.
     parts, many = [], isinstance(members, list)
@@ -201,7 +207,7 @@ def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame,
     links, used = None, b.select("key", F.col("pivot").alias("id")).distinct()
     for k in range(ROUNDS + 1):
         likely = ws.put(_plausible(pairs, s, plausible), "likely")
-        new = ws.put(_verified(likely, pay, prepare, same).distinct(), "links")
+        new = ws.put(verified(likely, pay, prepare, same).distinct(), "links")
         links = new if links is None else links.unionByName(new)
         comp = ws.put(connected_components(links, ws, "a", "b"), "components")
         ws.drop(likely)
@@ -214,7 +220,7 @@ def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame,
         if open_.isEmpty():
             break
         if k + 1 == ROUNDS:
-            pairs = ws.put(_exhaustive(open_, s, plausible), "pairs")
+            pairs = ws.put(_exhaustive(open_, s, plausible, first), "pairs")
             continue
         degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("d"))
         fresh = open_.join(used, ["key", "id"], "left_anti").join(degree, "id", "left")

@@ -66,6 +66,12 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return out
 
 
+def first_band(a: np.ndarray, b: np.ndarray, key: int) -> np.ndarray:
+    """Whether the band of key is the first that signatures a and b share."""
+    equal = (a[:, 4 : 4 + BANDED] == b[:, 4 : 4 + BANDED]).reshape(len(a), BANDS, ROWS).all(axis=2)
+    return equal.argmax(axis=1) == key >> 8 * ROWS
+
+
 def estimate(n_a: np.ndarray, n_b: np.ndarray, larger: np.ndarray, smaller: np.ndarray, m: int = REGISTERS) -> np.ndarray:
     """Maximum-likelihood Jaccard similarity from set sizes and the registers that are larger and smaller in a."""
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
@@ -166,7 +172,7 @@ def _marked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     members = nodes.select("id", "sig").mapInArrow(keys, "key long, id long")
     texts = docs.select(_row_key().alias("row_key"), F.col("text").cast("binary").alias("payload")).join(nodes.select("row_key", "id"), "row_key")
-    comp = groups(ws, members, nodes, texts, plausible(percent), lambda t: shingle_set(t, shingle), confirm(percent))
+    comp = groups(ws, members, nodes, texts, plausible(percent), lambda t: shingle_set(t, shingle), confirm(percent), first=first_band)
     of = d.select("doc_id", "row_key", "n_shingles", "node").join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = of.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("least"))
     out = of.join(least, "c", "left").withColumn("component_id", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")))
