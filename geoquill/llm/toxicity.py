@@ -13,6 +13,8 @@ then from each document's highest-scoring window. Everything else covers all row
 
 from __future__ import annotations
 
+import pickle
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,34 +39,37 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Rows of the embedding tables for words met so far; cleared when it grows past its bound."""
+    """Numbers of the words met so far, and the rows of the embedding tables that they take; cleared when it grows past its bound."""
 
     BOUND = 200_000
 
     def __init__(self):
         self.word: dict[bytes, int] = {}
-        self.rows: list[tuple[int, list[int]]] = []
-
-    def number(self, words: list[bytes]) -> list[int]:
-        out = []
-        for w in words:
-            k = self.word.get(w)
-            if k is None:
-                k = self.word[w] = len(self.rows)
+        self.row, self.gram, self.end = array("i"), array("i"), array("q", [0])
+
+    def number(self, words: list[bytes]) -> np.ndarray:
+        known, h = self.word, xxhash.xxh3_64_intdigest
+        for w in dict.fromkeys(words):
+            if w not in known:
+                known[w] = len(known)
                 s = b"^" + w + b"$"
-                self.rows.append((xxhash.xxh3_64_intdigest(w) % WORDS, [xxhash.xxh3_64_intdigest(s[i : i + 3]) % GRAMS for i in range(max(1, len(s) - 2))]))
-            out.append(k)
-        return out
+                self.row.append(h(w) % WORDS)
+                self.gram.extend([h(s[i : i + 3]) % GRAMS for i in range(max(1, len(s) - 2))])
+                self.end.append(len(self.gram))
+        return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word rows, trigram rows one after another, where each word's begin)."""
-        return np.array([r[0] for r in self.rows], np.int64), np.array([g for r in self.rows for g in r[1]], np.int64), np.cumsum([0, *[len(r[1]) for r in self.rows]])
+    def tables(self, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word rows, trigram rows one after another, where each word's begin) of the words from number `first` on."""
+        end = np.array(self.end[first:], np.int64)
+        return np.array(self.row[first:], np.int64), np.array(self.gram[int(end[0]) :], np.int64), end - end[0]
 
 
 def pieces(text: bytes | None) -> list[bytes]:
     """Words of the text; longer ones than RUN bytes as all their runs of PIECE characters."""
-    out = []
-    for w in alnum_words(text):
+    out, words = [], alnum_words(text)
+    if max(map(len, words), default=0) <= RUN:
+        return words
+    for w in words:
         if len(w) <= RUN:
             out.append(w)
         else:
@@ -73,15 +78,13 @@ def pieces(text: bytes | None) -> list[bytes]:
     return out
 
 
-def windows(numbers: list[int]) -> np.ndarray:
+def windows(numbers: np.ndarray | list[int]) -> np.ndarray:
     """Rows of WINDOW word numbers, -1 after the end; a text without words has one empty window."""
     n = len(numbers)
-    starts = range(0, max(1, n - STEP), STEP) if n > WINDOW else [0]
-    out = np.full((len(starts), WINDOW), -1, np.int64)
-    for k, s in enumerate(starts):
-        part = numbers[s : s + WINDOW]
-        out[k, : len(part)] = part
-    return out
+    rows = max(1, -(-(n - STEP) // STEP)) if n > WINDOW else 1
+    padded = np.full((rows - 1) * STEP + WINDOW, -1, np.int32)
+    padded[:n] = numbers
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STEP]
 
 
 class Model:
@@ -154,7 +157,7 @@ class Model:
         d_states = att[:, :, None] * d_pool + d_e[:, :, None] * self.p["att"]
         d_emb = np.zeros_like(emb)
         for way, part in (("f", slice(0, h)), ("b", slice(h, 2 * h))):
-            d_h, d_gates, d_u = np.zeros((len(x0), h), np.float32), np.zeros((len(emb) + 1, 3 * h), np.float32), np.zeros((h, 3 * h), np.float32)
+            d_h, d_steps, d_u = np.zeros((len(x0), h), np.float32), np.empty((x0.shape[1], len(x0), 3 * h), np.float32), np.zeros((h, 3 * h), np.float32)
             for i, before, z, r, c, an, live in reversed(runs[way][1]):
                 d_h = d_h + d_states[i][:, part]
                 own = np.where(live, d_h, 0)
@@ -163,16 +166,14 @@ class Model:
                 d_r = d_c * an * r * (1 - r)
                 d_g = np.concatenate([d_z, d_r, d_c], axis=1)
                 d_a = np.concatenate([d_z, d_r, d_c * r], axis=1)
-                np.add.at(d_gates, x0[:, i], d_g)
+                d_steps[i] = d_g
                 d_u += before.T @ d_a
                 d_h = np.where(live, own * z + d_a @ self.p[f"{way}h"].T, d_h)
-            d_gates = d_gates[:-1]
+            d_gates = _sums(x0.T.ravel(), d_steps.reshape(-1, 3 * h), len(emb))
             g[f"{way}h"], g[f"{way}x"], g[f"{way}b"] = d_u, emb.T @ d_gates, d_gates.sum(axis=0)
             d_emb += d_gates @ self.p[f"{way}x"].T
-        g["word"], g["gram"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["gram"])
-        np.add.at(g["word"], word, d_emb[:, :DIM])
         n = np.diff(at)
-        np.add.at(g["gram"], gram, np.repeat(d_emb[:, DIM:] / n[:, None], n, axis=0))
+        g["word"], g["gram"] = _sums(word, d_emb[:, :DIM], WORDS), _sums(gram, np.repeat(d_emb[:, DIM:] / n[:, None], n, axis=0), GRAMS)
         self.t += 1
         for k, v in g.items():
             self.m[k] += 0.1 * (v - self.m[k])
@@ -185,6 +186,18 @@ class Model:
         return self
 
 
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of values by their number at, 0 to n - 1; negative numbers count for nothing."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    order = np.argsort(at, kind="stable")
+    order = order[np.searchsorted(at[order], 0) :]
+    if len(order):
+        own = at[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        out[own[first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
 def _pick(gram: np.ndarray, at: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = at[used + 1] - at[used]
     ends = np.cumsum(n)
@@ -224,33 +237,103 @@ def train(texts: list[bytes], toxic: list[int], share: float | None = None, seed
     return model.slim()
 
 
-def score_windows(model: Model, tables: tuple, x: np.ndarray, batch: int = 4096) -> np.ndarray:
-    emb = model.inputs(*tables)
-    return np.concatenate([model.forward(emb, x[i : i + batch]) for i in range(0, len(x), batch)]) if len(x) else np.zeros(0)
+class Gates:
+    """What each word adds to the gates, ready for scoring: that is a constant once a model is trained.
+
+    Update and reset gates are kept at half their size, as sigmoid(x) = (tanh(x / 2) + 1) / 2.
+    """
+
+    def __init__(self, model: Model, tables: tuple):
+        self.model, h = model, HIDDEN
+        self.into = {w: (0.5 * model.p[f"{w}h"][:, : 2 * h], np.ascontiguousarray(model.p[f"{w}h"][:, 2 * h :])) for w in "fb"}
+        self.read = {w: np.stack([model.p[k][s] for k in ("att", "out")], axis=1) for w, s in (("f", slice(0, h)), ("b", slice(h, 2 * h)))}
+        self.table = {w: (np.zeros((1, 2 * h), np.float32), np.zeros((1, h), np.float32)) for w in "fb"}
+        self.add(tables)
+
+    def add(self, tables: tuple) -> None:
+        """More words; the last row stays that of no word."""
+        emb, h = self.model.inputs(*tables), HIDDEN
+        for w in "fb":
+            g = (emb @ self.model.p[f"{w}x"] + self.model.p[f"{w}b"]).astype(np.float32)
+            zr, c = self.table[w]
+            self.table[w] = (np.concatenate([zr[:-1], 0.5 * g[:, : 2 * h], zr[-1:]]), np.concatenate([c[:-1], g[:, 2 * h :], c[-1:]]))
+
+    def score(self, x: np.ndarray, batch: int = 2048) -> np.ndarray:
+        """Logits of windows; those with all words apart from those that end early."""
+        out, whole = np.empty(len(x), np.float32), x[:, -1] >= 0
+        for k in (np.flatnonzero(whole), np.flatnonzero(~whole)):
+            for i in range(0, len(k), batch):
+                out[k[i : i + batch]] = self._logits(x[k[i : i + batch]])
+        return out
+
+    def _logits(self, x: np.ndarray) -> np.ndarray:
+        h, x = HIDDEN, np.ascontiguousarray(x.T)
+        t, n = x.shape
+        live, att, value = x >= 0, np.zeros((t, n), np.float32), np.zeros((t, n), np.float32)
+        some = ~live.all(axis=1)
+        for w in "fb":
+            (zr_of, c_of), (u_zr, u_c) = self.table[w], self.into[w]
+            state = np.zeros((n, h), np.float32)
+            for i in range(t) if w == "f" else range(t - 1, -1, -1):
+                zr = zr_of.take(x[i], axis=0, mode="wrap")
+                zr += state @ u_zr
+                np.tanh(zr, out=zr)
+                zr *= 0.5
+                zr += 0.5
+                a = state @ u_c
+                a *= zr[:, h:]
+                a += c_of.take(x[i], axis=0, mode="wrap")
+                np.tanh(a, out=a)
+                new = state - a
+                new *= zr[:, :h]
+                new += a
+                state = np.where(live[i][:, None], new, state) if some[i] else new
+                both = state @ self.read[w]
+                att[i] += both[:, 0]
+                value[i] += both[:, 1]
+        att[~live] = -1e9
+        e = np.exp(att - att.max(axis=0))
+        e *= live
+        return (e * value).sum(axis=0) / np.maximum(e.sum(axis=0), 1e-9) + self.model.p["bias"][0]
+
+
+def score_windows(model: Model, tables: tuple, x: np.ndarray, chunk: int = 32_768) -> np.ndarray:
+    """Logits of all windows x of words that tables describe, some at a time: a chunk needs the gates of its own words only."""
+    out = np.zeros(len(x))
+    for i in range(0, len(x), chunk):
+        used, own = np.unique(x[i : i + chunk], return_inverse=True)
+        own = own.reshape(-1, x.shape[1])
+        if used[0] < 0:
+            used, own = used[1:], own - 1
+        gram, at = _pick(tables[1], tables[2], used)
+        out[i : i + chunk] = Gates(model, (tables[0][used], gram, at)).score(own)
+    return out
 
 
-def score_texts(model: Model | None, texts: list[bytes | None], vocab: Vocabulary) -> np.ndarray:
-    """The score of each text's worst window, 0 to 1; without a model, 0."""
+def score_texts(model: Model | None, texts: list[bytes | None], vocab: Vocabulary, gates: list[Gates] | None = None) -> np.ndarray:
+    """The score of each text's worst window, 0 to 1; without a model, 0. gates: kept along with vocab from call to call."""
     if model is None or not texts:
         return np.zeros(len(texts))
-    out = np.empty(len(texts))
+    gates = [] if gates is None else gates
+    out, once = np.empty(len(texts)), {}
+    place = [once.setdefault(text or b"", len(once)) for text in texts]
+    texts, score = list(once), np.empty(len(once))
     first, rows, size = 0, [], 0
     for i, text in enumerate(texts):
         rows.append(windows(vocab.number(pieces(text))))
         size += len(rows[-1])
-        if size >= 4096 or i + 1 == len(texts):
-            x = np.concatenate(rows)
-            used, x0 = np.unique(x, return_inverse=True)
-            x0 = x0.reshape(x.shape)
-            if used[0] < 0:
-                used, x0 = used[1:], x0 - 1
-            word, gram = zip(*(vocab.rows[k] for k in used), strict=True) if len(used) else ((), ())
-            t = (np.array(word, np.int64), np.array([g for k in gram for g in k], np.int64), np.cumsum([0, *map(len, gram)]))
-            s = score_windows(model, t, x0)
-            out[first : i + 1] = np.maximum.reduceat(s, np.cumsum([0, *map(len, rows)])[:-1])
+        if size >= 8192 or i + 1 == len(texts):
+            if not gates:
+                gates.append(Gates(model, vocab.tables()))
+            else:
+                gates[0].add(vocab.tables(len(gates[0].table["f"][0]) - 1))
+            s = gates[0].score(np.concatenate(rows))
+            score[first : i + 1] = np.maximum.reduceat(s, np.cumsum([0, *map(len, rows)])[:-1])
             first, rows, size = i + 1, [], 0
-            if len(vocab.rows) > vocab.BOUND:
+            if len(vocab.word) > vocab.BOUND:
                 vocab.__init__()
+                gates.clear()
+    out[:] = score[place]
     return sigmoid(out)
 
 
@@ -269,9 +352,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5)
     order = (F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
     of = own.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("share")).first()
     few = own.where("toxic > 0").orderBy(*order).limit(sample).unionByName(own.where("toxic <= 0").orderBy(*order).limit(sample))
-    # two times `sample` ids at most
-    got = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where("text is not null").join(F.broadcast(few), "doc_id").toArrow().sort_by([("doc_id", "ascending")])
-    return train(got.column("text").to_pylist(), [int(t > 0) for t in got.column("toxic").to_pylist()], of.share, seed)
+    # two times `sample` ids at most; their texts meet in one task of an executor, which returns the parameters
+    got = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where("text is not null").join(F.broadcast(few), "doc_id")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for b in batches:
+            texts += b.column(0).to_pylist()
+            toxic += [int(x > 0) for x in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, toxic, of.share, seed))], pa.binary())], names=["model"])
+
+    rows = got.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "toxic").mapInArrow(learn, "model binary").collect()
+    return pickle.loads(rows[0].model) if rows else None
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -281,9 +373,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = Vocabulary()
+        vocab, gates = Vocabulary(), []
         for b in batches:
-            s = score_texts(sent.value, b.column(b.num_columns - 1).to_pylist(), vocab)
+            s = score_texts(sent.value, b.column(b.num_columns - 1).to_pylist(), vocab, gates)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64())], names=[*b.schema.names[:-1], "gq_score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("gq_score", T.DoubleType())])
