@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoquill.operators.graph import connected_components
+from geoquill.operators.graph import connected_components, rounds
 from geoquill.operators.spatial import within_distance
 from geoquill.workspace import Workspace
 
@@ -33,7 +33,7 @@ def height_clusters(points: DataFrame, eps: int, ws: Workspace, height: str = "h
     return points.select("id").join(of, "id", "left").select("id", F.coalesce("component", "id").alias("cluster"))
 
 
-def independent_set(points: DataFrame, radius: int, ws: Workspace, limit: int = 200) -> DataFrame:
+def independent_set(points: DataFrame, radius: int, ws: Workspace, limit: int | None = None) -> DataFrame:
     """ids kept so that no two are within radius: by degree among all, then id.
 
     The order is fixed at the start, so a point is kept once no earlier neighbour
@@ -44,7 +44,7 @@ def independent_set(points: DataFrame, radius: int, ws: Workspace, limit: int =
     left, kept = ws.put(deg, "left"), None
     k = F.struct("d", "id")
     before = ws.put(near.join(deg.select(F.col("id").alias("a_id"), k.alias("ka")), "a_id").join(deg.select(F.col("id").alias("b_id"), k.alias("kb")), "b_id").where("kb < ka").select("a_id", "b_id"), "before")
-    for _ in range(limit):
+    for _ in rounds(limit):
         blocked = before.join(left.select(F.col("id").alias("b_id")), "b_id", "left_semi").select(F.col("a_id").alias("id")).distinct()
         new = ws.put(left.join(blocked, "id", "left_anti").select("id"), "kept")
         if new.isEmpty():

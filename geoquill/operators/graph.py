@@ -15,6 +15,15 @@ from geoquill.workspace import Workspace
 ONE_TASK = 1_000_000
 
 
+def rounds(limit: int | None = None) -> Iterator[int]:
+    """0, 1, 2, ... for loops that end themselves; an error past the limit, so no unfinished result is returned."""
+    k = 0
+    while limit is None or k < limit:
+        yield k
+        k += 1
+    raise RuntimeError(f"not finished after {limit} rounds")
+
+
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parent: dict[int, int] = {}
 
@@ -35,7 +44,7 @@ def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], names=["id", "component"])
 
 
-def connected_components(edges: DataFrame, ws: Workspace, src: str = "src", dst: str = "dst", limit: int = 60, one_task: int = ONE_TASK) -> DataFrame:
+def connected_components(edges: DataFrame, ws: Workspace, src: str = "src", dst: str = "dst", limit: int | None = None, one_task: int = ONE_TASK) -> DataFrame:
     """(id, component) of every node that has an edge; component is the smallest id reachable.
 
     Few edges, by count, are joined by one task. Beyond, alternating large-star and small-star steps: each node hands its neighbours the
@@ -49,7 +58,7 @@ def connected_components(edges: DataFrame, ws: Workspace, src: str = "src", dst:
         return e.coalesce(1).mapInArrow(_union_find, "id long, component long")
     e = ws.put(e.distinct(), "edges")
     known = None
-    for _ in range(limit):
+    for _ in rounds(limit):
         seen = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (seen.n, seen.h) == known or not seen.n:
             break

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoquill.operators.graph import connected_components
+from geoquill.operators.graph import connected_components, rounds
 from geoquill.workspace import Workspace
 
 
@@ -91,12 +93,12 @@ def paths(lines: DataFrame, starts: DataFrame, max_steps: int, previous_rule: bo
     return out
 
 
-def bfs(lines: DataFrame, starts: DataFrame, ws: Workspace, limit: int = 200) -> DataFrame:
-    """(node, level, parent): steps from the nearest start, and the smallest node one step nearer."""
+def bfs(lines: DataFrame, starts: DataFrame, ws: Workspace, limit: int | None = None) -> DataFrame:
+    """(node, level, parent): steps from the nearest start, and the smallest node one step nearer; limit: levels wanted, by default all."""
     n = ws.put(_both(lines), "edges")
     out = ws.put(starts.select("node", F.lit(0).alias("level"), F.lit(None).cast("bigint").alias("parent")).distinct(), "bfs")
     front = out
-    for level in range(1, limit + 1):
+    for level in count(1) if limit is None else range(1, limit + 1):
         new = front.select(F.col("node").alias("a")).join(n, "a").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
         new = ws.put(new.join(out.select("node"), "node", "left_anti").select("node", F.lit(level).alias("level"), "parent"), "front")
         if new.isEmpty():
@@ -105,7 +107,7 @@ def bfs(lines: DataFrame, starts: DataFrame, ws: Workspace, limit: int = 200) ->
     return out
 
 
-def strahler(lines: DataFrame, ws: Workspace, limit: int = 500) -> DataFrame:
+def strahler(lines: DataFrame, ws: Workspace, limit: int | None = None) -> DataFrame:
     """(line_id, strahler) of directed lines src -> dst: 1 at sources; one more than the greatest inflow where two have it.
 
     Each round settles the nodes whose inflows are all settled; lines that never
@@ -116,7 +118,7 @@ def strahler(lines: DataFrame, ws: Workspace, limit: int = 500) -> DataFrame:
     out = None
     ready = todo.where("need = 0").select("node", F.lit(1).alias("order"))
     settled = None
-    for _ in range(limit):
+    for _ in rounds(limit):
         new = ws.put(e.join(ready, e.src == F.col("node")).select("line_id", "dst", F.col("order").alias("strahler"), "src"), "orders")
         if new.isEmpty():
             break
@@ -136,11 +138,11 @@ def chains(lines: DataFrame, ws: Workspace) -> DataFrame:
     return lines.select("line_id").join(of.withColumnRenamed("id", "line_id"), "line_id", "left").select("line_id", F.coalesce("component", "line_id").alias("chain"))
 
 
-def spanning_forest(lines: DataFrame, ws: Workspace, weight: str = "length_cm", limit: int = 40) -> DataFrame:
+def spanning_forest(lines: DataFrame, ws: Workspace, weight: str = "length_cm", limit: int | None = None) -> DataFrame:
     """line_id of the least spanning forest; ties by line_id. Every round each part takes its lightest line out."""
     e = ws.put(lines.where("src <> dst").select("line_id", "src", "dst", F.col(weight).alias("w")), "edges")
     part, taken = None, None
-    for _ in range(limit):
+    for _ in rounds(limit):
         if part is None:
             cur = e.withColumns({"a": F.col("src"), "b": F.col("dst")})
         else:
@@ -155,14 +157,10 @@ def spanning_forest(lines: DataFrame, ws: Workspace, weight: str = "length_cm",
     return taken if taken is not None else e.select("line_id").limit(0)
 
 
-def kruskal_rank(accepted: DataFrame, order: list[str]) -> DataFrame:
-    return accepted.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-
-
-def prune_dead_ends(lines: DataFrame, ws: Workspace, least: int, limit: int = 50) -> DataFrame:
+def prune_dead_ends(lines: DataFrame, ws: Workspace, least: int, limit: int | None = None) -> DataFrame:
     """Lines without dead ends shorter than least, again and again until none is left; lone lines count as dead ends."""
     cur = ws.put(lines, "lines")
-    for _ in range(limit):
+    for _ in rounds(limit):
         short = ends(cur).groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("line_id").alias("line_id")).where("n = 1").select("line_id").distinct().join(cur.where(F.col("length_cm") < least).select("line_id"), "line_id", "left_semi")
         gone = ws.put(short, "gone")
         if gone.isEmpty():

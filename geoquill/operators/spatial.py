@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoquill.workspace import Workspace
+
 from geoquill.functions.geometry import distance2
 
 
@@ -36,18 +38,24 @@ def nearest(a: DataFrame, b: DataFrame, k: int, radius: int, rank: str = "rank")
     return within_distance(a, b, radius).withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-def nearest_one(a: DataFrame, b: DataFrame, first: int, rings: int = 8) -> DataFrame:
-    """(a_id, b_id, d2) of each point's nearest, however far within first * 2 ** rings.
+def nearest_one(a: DataFrame, b: DataFrame, first: int, rings: int | None = None) -> DataFrame:
+    """(a_id, b_id, d2) of each point's nearest, ties by b_id, however far; nothing for points without coordinates or where b has none.
 
     Points without a neighbour in one radius look again in twice the radius, so
-    dense areas never pay for the search of sparse ones.
+    dense areas never pay for the search of sparse ones. What is left is written
+    after each round, so no ring repeats the search of an earlier one. rings: ends
+    the search after so many radii; points without a neighbour by then have no row.
     """
-    found, rest, radius = None, a, first
-    for _ in range(rings):
+    ws, radius, k, found = Workspace(a.sparkSession, "nearest"), first, 0, None
+    a, b = (x.select("id", "x", "y").where("x is not null and y is not null") for x in (a, b))
+    rest = ws.put(a if not b.isEmpty() else a.limit(0), "rest")
+    while found is None or not (rest.isEmpty() or k == rings):
         got = within_distance(rest, b, radius).groupBy("a_id").agg(F.min(F.struct("d2", "b_id")).alias("m")).select("a_id", F.col("m.b_id").alias("b_id"), F.col("m.d2").alias("d2"))
+        got = ws.put(got, "found")
         found = got if found is None else found.unionByName(got)
-        rest = rest.join(got.select(F.col("a_id").alias("id")), "id", "left_anti")
-        radius *= 2
+        left = ws.put(rest.join(got.select(F.col("a_id").alias("id")), "id", "left_anti"), "rest")
+        ws.drop(rest)
+        rest, radius, k = left, 2 * radius, k + 1
     return found
 
 

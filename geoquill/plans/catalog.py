@@ -234,7 +234,7 @@ def near_table_k(t):
 row_number() over (partition by a.id order by (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y), h.id) as r from pts a, hubs h) q where r = 1""")
 def nearest_hub(t):
     """J04 J09"""
-    return spatial.nearest_one(t.pts, t.hubs, 400, 6)
+    return spatial.nearest_one(t.pts, t.hubs, 400)
 
 
 @query("select a_id, b_id, area from (select *, row_number() over (partition by a_id order by area desc, b_id) as r from (select a.id as a_id, b.id as b_id, (least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) as area from boxes a join boxes b on a.id <> b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax) o) p where r = 1")
@@ -346,15 +346,15 @@ def normalise(t):
     return d.select("line_id", F.round(1000000 * gaps.normalised("v", ["category"])).cast(L).alias("norm_ppm"))
 
 
-@query("select line_id, row_number() over (order by coalesce(nullif(instr('ERFKPSBTDAUG', category), 0), 13), coalesce(class, 1000000000), coalesce(length_cm, 1000000000), line_id) as place from lines where src < 2000")
+@query("select line_id, row_number() over (order by coalesce(nullif(instr('ERFKPSBTDAUG', category), 0), 13), coalesce(class, 1000000000), coalesce(length_cm, 1000000000), line_id) as place from lines")
 def priority_order(t):
-    """Lines of the first nodes only, as its SQL; priority_order_all has all"""
-    return _priority_order(t.lines.where("src < 2000"), work(t))
+    """T01 T03 T06 T07"""
+    return _priority_order(t.lines, work(t))
 
 
 @query("select line_id, row_number() over (order by coalesce(nullif(instr('ERFKPSBTDAUG', category), 0), 13), coalesce(class, 1000000000), coalesce(length_cm, 1000000000), line_id) as place from lines")
 def priority_order_all(t):
-    """T01 T03 T06 T07"""
+    """priority_order under its second name"""
     return _priority_order(t.lines, work(t))
 
 
@@ -476,15 +476,15 @@ def snap_to_grid(t):
     return t.pts.select("id", x.alias("x"), y.alias("y"), ((x == F.col("x")) & (y == F.col("y"))).alias("same"))
 
 
-@query("select line_id, x2 as x1, y2 as y1, x1 as x2, y1 as y2, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) > 60 as trimmed, 2 as n_vertices, cast(floor(100 * sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double))) as bigint) as length_cm from lines where src % 3 = 0")
+@query("select line_id, x2 as x1, y2 as y1, x1 as x2, y1 as y2, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) > 60 as trimmed, 2 as n_vertices, cast(floor(100 * sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double))) as bigint) as length_cm from lines")
 def line_editing(t):
-    """A third of the lines, as its SQL; line_editing_all has all"""
-    return _line_editing(t.lines.where("src % 3 = 0"))
+    """G42 G43 G45 G46 G61 G62 A08"""
+    return _line_editing(t.lines)
 
 
 @query("select line_id, x2 as x1, y2 as y1, x1 as x2, y1 as y2, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) > 60 as trimmed, 2 as n_vertices, cast(floor(100 * sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) as double))) as bigint) as length_cm from lines")
 def line_editing_all(t):
-    """G42 G43 G45 G46 G61 G62 A08"""
+    """line_editing under its second name"""
     return _line_editing(t.lines)
 
 
@@ -718,15 +718,15 @@ def identity_overlay(t):
     return overlay.identity(c.where("id % 2 = 1"), c.where("id % 2 = 0"))
 
 
-@query("select l.id, (select count(*) from boxes b where b.id <> l.id and b.class = l.class and b.xmin < l.xmax and l.xmin < b.xmax and b.ymin < l.ymax and l.ymin < b.ymax) as same_class from boxes l where l.id % 3 = 0")
+@query("select l.id, (select count(*) from boxes b where b.id <> l.id and b.class = l.class and b.xmin < l.xmax and l.xmin < b.xmax and b.ymin < l.ymax and l.ymin < b.ymax) as same_class from boxes l")
 def conflicts_in_class(t):
-    """Reports a third of the boxes, as its SQL; conflicts_in_class_all reports all"""
-    return _conflicts_in_class(t.boxes.where("id % 3 = 0"), t.boxes)
+    """How many boxes of its own class each box overlaps"""
+    return _conflicts_in_class(t.boxes, t.boxes)
 
 
 @query("select l.id, (select count(*) from boxes b where b.id <> l.id and b.class = l.class and b.xmin < l.xmax and l.xmin < b.xmax and b.ymin < l.ymax and l.ymin < b.ymax) as same_class from boxes l")
 def conflicts_in_class_all(t):
-    """K15 K20 Q43"""
+    """conflicts_in_class under its second name"""
     return _conflicts_in_class(t.boxes, t.boxes)
 
 
@@ -824,12 +824,13 @@ def class_rules(t):
 
 @query(None)
 def simplified_chains(t):
-    """Kernels over each connected line's nodes in order"""
+    """Kernels over each connected line's nodes, from its end with the smaller node to the other"""
     from geoquill.functions import kernels
 
     chain = network.chains(t.lines, work(t)).join(t.lines, "line_id")
-    pts = chain.select("chain", F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p"))
-    line = pts.select("chain", F.struct(F.col("p.x").cast("double").alias("x"), F.col("p.y").cast("double").alias("y")).alias("p")).distinct().groupBy("chain").agg(F.array_sort(F.collect_list("p")).alias("line"))
+    # a connected line is one row, so its segments meet in one
+    part = F.struct("line_id", "src", "dst", *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    line = chain.groupBy("chain").agg(F.collect_list(part).alias("parts")).select("chain", kernels.walk_udf()("parts").alias("line"))
     d = line.withColumn("simple", kernels.line_udf(kernels.simplify, 60.0)("line")).withColumn("smooth", kernels.line_udf(kernels.smooth, 300.0)("simple"))
     return d.select("chain", F.size("line").alias("vertices"), F.size("simple").alias("kept"), F.floor(geometry.line_length(F.col("smooth"))).alias("length"))
 

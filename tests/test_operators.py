@@ -227,3 +227,57 @@ def test_ids_that_are_not_covered_stand_in_no_docstring():
     listed = set(re.findall(r"\b[LN][0-9]{2}\b", (root / "README.md").read_text().split("## Not covered")[1]))
     claimed = set(re.findall(r"\b[LN][0-9]{2}\b", (root / "geoquill/plans/catalog.py").read_text()))
     assert {"L03", "L13", "L14", "N28", "N31"} <= listed and not listed & claimed
+
+
+def test_candidates_rank_other_components_only(spark):
+    """Four dangles of one component stand nearer to one another than a foreign one."""
+    from geoquill.operators import gaps
+    from geoquill.workspace import Workspace
+
+    star = [(k, 0, k, 0, 0, *p) for k, p in enumerate([(10, 0), (0, 10), (-10, 0), (0, -10)], 1)]
+    rows = [*star, (9, 20, 21, 25, 0, 90, 0)]
+    lines = spark.createDataFrame([(*r, 1000) for r in rows], "line_id long, src long, dst long, x1 long, y1 long, x2 long, y2 long, length_cm long")
+    for k in (1, 2, 9):
+        got = {(x.a_id, x.b_id) for x in gaps.candidates(lines, 40, k, Workspace(spark, "t")).collect()}
+        assert {(a, 20) for a in (1, 2, 3, 4)} - {(3, 20)} <= got and all((a < 9) != (b < 9) for a, b in got), got
+
+
+def test_nearest_one_goes_on_until_all_have_one(spark):
+    from geoquill.operators import spatial
+
+    a = spark.createDataFrame([(1, 0, 0), (2, 13_000, 0), (3, 10_000_000, 5), (4, None, 0)], "id long, x long, y long")
+    b = spark.createDataFrame([(7, 0, 1)], "id long, x long, y long")
+    got = {x.a_id: x.d2 for x in spatial.nearest_one(a, b, 400).collect()}
+    assert got == {1: 1, 2: 13_000**2 + 1, 3: 10_000_000**2 + 16}
+    assert {x.a_id for x in spatial.nearest_one(a, b, 400, 2).collect()} == {1}
+    assert spatial.nearest_one(a, b.limit(0), 400).count() == 0
+
+
+def test_walk_follows_the_line():
+    from geoquill.functions.kernels import walk
+
+    path = [(0, 0), (100, 0), (100, 100), (0, 100), (0, 200)]
+    parts = [(k, k, k + 1, *path[k], *path[k + 1]) for k in range(4)]
+    parts[2] = (2, 3, 2, *path[3], *path[2])
+    assert walk([parts[i] for i in (2, 0, 3, 1)]) == path
+    ring = [(1, 5, 6, 0, 0, 1, 0), (2, 6, 7, 1, 0, 1, 1), (3, 7, 5, 1, 1, 0, 0)]
+    assert walk(ring) == [(0, 0), (1, 0), (1, 1), (0, 0)]
+
+
+def test_rounds_end_with_an_error():
+    import pytest
+
+    from geoquill.operators.graph import rounds
+
+    with pytest.raises(RuntimeError):
+        list(rounds(3))
+
+
+def test_deep_river_has_its_order(spark):
+    """Two arms that meet far below their sources: order 2 from there on."""
+    from geoquill.operators import network
+    from geoquill.workspace import Workspace
+
+    arms = [(k, k, k + 1) for k in range(6)] + [(10 + k, 100 + k, 101 + k if k < 5 else 6) for k in range(6)] + [(30, 6, 7)]
+    got = {x.line_id: x.strahler for x in network.strahler(spark.createDataFrame(arms, "line_id long, src long, dst long"), Workspace(spark, "t")).collect()}
+    assert got == {k: 2 if k == 30 else 1 for k, *_ in arms}
