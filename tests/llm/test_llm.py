@@ -381,6 +381,20 @@ def test_gradient():
 
     before = {k: v.copy() for k, v in m.p.items()}
     base = loss()
+    # the first step of Adam moves each parameter against the sign of its gradient
+    m.step(tables, x, y, np.ones(2), 1e-4)
+    moved = {k: m.p[k] - before[k] for k in before}
+    m.p = {k: v.copy() for k, v in before.items()}
+    for k, v in m.p.items():
+        for i in np.argsort(-np.abs(moved[k]), axis=None)[:6]:
+            at, e = np.unravel_index(i, v.shape), 1e-4
+            keep = v[at]
+            v[at] = keep + e
+            up = loss()
+            v[at] = keep - e
+            slope = (up - loss()) / (2 * e)
+            v[at] = keep
+            assert abs(slope) < 1e-6 or np.sign(slope) == -np.sign(moved[k][at]), (k, at, slope)
     for _ in range(5):
         m.step(tables, x, y, np.ones(2), 0.01)
     assert loss() < base and any((before[k] != m.p[k]).any() for k in before)
@@ -560,6 +574,47 @@ def test_line_report_finds_lines_with_typos(spark):
     assert [got[k] for k in range(60)] == [0] * 60 and [got[100 + k] for k in range(60)] == [1] * 60
 
 
+def test_recall_of_lines_with_one_word_or_character_changed(spark):
+    """Through the whole operator, against edit similarity alone."""
+    r = random.Random(12)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 10))) for _ in range(3000)]
+    rows, cases, same = [], {}, lines.alike(80)
+    for low, high in ((5, 15), (15, 30), (30, 80), (80, 300)):
+        for kind in ("word", "character"):
+            for _ in range(60):
+                w = [r.choice(words) for _ in range(r.randrange(low, high))]
+                a, b = " ".join(w), list(w)
+                if kind == "word":
+                    b[r.randrange(len(b))] = r.choice(words)
+                b = " ".join(b) if kind == "word" else typos(r, a, 1)
+                if same(*(lines.normalised(x.encode()).decode() for x in (a, b))):
+                    cases.setdefault((low, kind), []).append(len(rows) + 1)
+                    rows += [(len(rows), a), (len(rows) + 1, b)]
+    got = {x.doc_id: x.n_dropped for x in lines.line_report(docs(spark, rows)).collect()}
+    for case, ids in cases.items():
+        assert sum(got[k] for k in ids) >= 0.95 * len(ids), case
+
+
+def test_large_groups_of_lines_meet_through_their_lines(spark):
+    """Two groups of near lines and one between them end as one; lines that share half of their text stay apart."""
+    r = random.Random(13)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(6)) for _ in range(500)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    a = say(60)
+    b = a[:40] + say(8) + a[48:]
+    middle = b[:40] + a[40:44] + b[44:]
+    rows = [(0, " ".join(middle))]
+    for k, base in enumerate((a, b)):
+        for i in range(30):
+            w = list(base)
+            w[r.randrange(36)] = r.choice(words)
+            rows.append((100 * k + i + 1, " ".join(w)))
+    half = say(30)
+    rows += [(500 + k, " ".join(half + say(30))) for k in range(40)]
+    got = {x.doc_id: x.n_dropped for x in lines.line_report(docs(spark, rows)).collect()}
+    assert got[0] == 0 and all(got[k] == 1 for k in got if 0 < k < 500) and all(got[k] == 0 for k in got if k >= 500)
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
