@@ -177,3 +177,20 @@ def collapse_rings(lines: DataFrame, rings: DataFrame) -> DataFrame:
     a, b = to.toDF("src", "s"), to.toDF("dst", "d")
     out = lines.join(a, "src", "left").join(b, "dst", "left").select("line_id", F.coalesce("s", "src").alias("src"), F.coalesce("d", "dst").alias("dst"), (F.col("s").isNotNull() & (F.col("s") == F.col("d"))).alias("inside"))
     return out.where("inside is null or not inside").drop("inside")
+
+
+def triangle_losers(lines: DataFrame, rank: str) -> DataFrame:
+    """(line_id): of each simple cycle of three nodes the line of highest rank, ties by the greatest line_id; parallel lines count as the one of lowest rank."""
+    p = _pairs(lines.select("line_id", "src", "dst")).join(lines.select("line_id", rank), "line_id")
+    e = p.groupBy("a", "b").agg(F.min(F.struct(F.col(rank).alias("r"), "line_id")).alias("l"))
+    ab, bc, ac = e.select("a", "b", F.col("l").alias("l1")), e.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("l").alias("l2")), e.select("a", F.col("b").alias("c"), F.col("l").alias("l3"))
+    # ends are in ascending order, so each cycle a < b < c comes once
+    return ab.join(bc, "b").join(ac, ["a", "c"]).select(F.greatest("l1", "l2", "l3").alias("l")).select("l.line_id").distinct()
+
+
+def cyclic_parts(lines: DataFrame, ws: Workspace) -> DataFrame:
+    """(component, nodes, edges, cycles) of connected parts; cycles is the number of independent ones, loops and parallel lines included."""
+    of = lines.select("line_id", "src", "dst").join(line_components(lines, ws), "line_id")
+    edges = of.groupBy("component").agg(F.count(F.lit(1)).alias("edges"))
+    nodes = of.select("component", F.explode(F.array("src", "dst")).alias("node")).distinct().groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
+    return edges.join(nodes, "component").select("component", "nodes", "edges", (F.col("edges") - F.col("nodes") + 1).alias("cycles"))

@@ -52,3 +52,36 @@ def run_partitioned(points: DataFrame, size: int, halo: int, function: Callable,
         return out[out["id"].isin(own)]
 
     return assign(points, size, halo).groupBy("col", "row").applyInPandas(run, schema)
+
+
+def quad_cells(points: DataFrame, limit: int, size: int, least: int) -> DataFrame:
+    """(size, col, row, n) of square cells that hold rows: each is split in four while it holds more than limit and is larger than least.
+
+    size is least times a power of two. Rows are counted once, by cells of the least
+    size; larger cells add their counts up, so nothing is read again for a level.
+    """
+    counts = points.groupBy(_cell(F.col("x"), least).alias("col"), _cell(F.col("y"), least).alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    levels = []
+    s = least
+    while s <= size:
+        levels.append(s)
+        s *= 2
+    # each least cell once for every level, with the sums of the cells around it
+    each = counts.withColumn("size", F.explode(F.array(*[F.lit(s).cast("bigint") for s in levels])))
+    up = lambda c: F.floor(F.col(c) * least / F.col("size")).cast("bigint")
+    cells = each.select("size", up("col").alias("col"), up("row").alias("row"), "n").groupBy("size", "col", "row").agg(F.sum("n").alias("n"))
+    half = lambda c: F.floor(F.col(c) / 2).cast("bigint").alias(c)
+    parent = cells.where(F.col("n") > limit).select("size", "col", "row")
+    # a parent holds at least what its child does, so a cell is reached as soon as its parent is split
+    p = parent.select((F.col("size") / 2).cast("bigint").alias("size"), F.col("col").alias("pc"), F.col("row").alias("pr"))
+    reached = cells.withColumns({"pc": half("col"), "pr": half("row")}).join(p, ["size", "pc", "pr"], "left_semi").select("size", "col", "row", "n").unionByName(cells.where(F.col("size") == levels[-1]))
+    return reached.where((F.col("n") <= limit) | (F.col("size") == least))
+
+
+def clip(boxes: DataFrame, size: int) -> DataFrame:
+    """(id, col, row, x0, y0, x1, y1): the part of each box inside each cell that it shares area with."""
+    last = lambda c: F.ceil(F.col(c) / size).cast("bigint") - 1
+    out = boxes.withColumn("col", F.explode(F.sequence(_cell(F.col("xmin"), size), last("xmax")))).withColumn("row", F.explode(F.sequence(_cell(F.col("ymin"), size), last("ymax"))))
+    return out.select(
+        "id", "col", "row", F.greatest("xmin", F.col("col") * size).alias("x0"), F.greatest("ymin", F.col("row") * size).alias("y0"), F.least("xmax", (F.col("col") + 1) * size).alias("x1"), F.least("ymax", (F.col("row") + 1) * size).alias("y1")
+    )

@@ -14,29 +14,12 @@ from pyspark.sql import functions as F
 from geoquill.functions import codes, geometry
 from geoquill.operators import clusters, elevation, gaps, network, overlay, partitioning, spatial
 from geoquill.operators.graph import connected_components
+from geoquill.plans import edits, networks, runs, shapes  # noqa: F401  their queries are registered too
+from geoquill.plans.registry import query, registered, sql_of, work
 from geoquill.sources import tables
-from geoquill.sources.fixtures import Tables, with_derived
 from geoquill.streaming.replay import windowed_counts
 from geoquill.workspace import Workspace
 
-_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_sql: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable:
-    def register(f: Callable[[Tables], DataFrame]) -> Callable:
-        _queries[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        if sql:
-            _sql[f.__name__] = with_derived(sql)
-        return f
-
-    return register
-
-
-def work(t: Tables) -> Workspace:
-    return Workspace(t.spark, "features")
-
-
 L = "bigint"
 
 
@@ -836,12 +819,12 @@ def simplified_chains(t):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _queries["isolated_line_removal"](spark, sf_dir)
+    return registered["isolated_line_removal"](spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_queries)
+    return dict(registered)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    return dict(sql_of)

@@ -65,3 +65,37 @@ def validate_catalog(expected: Iterable[str], found: Iterable[str]) -> tuple[set
 def remaining_units(units: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Units of work that the progress table doesn't list."""
     return units.join(done.select(key).distinct(), key, "left_anti")
+
+
+def insert(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """df and new rows with some of its columns, in its types; columns they lack are null, columns df lacks are an error."""
+    if extra := [c for c in rows.columns if c not in df.columns]:
+        raise ValueError(f"no such columns: {extra}")
+    return df.unionByName(rows.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in rows.columns]), allowMissingColumns=True)
+
+
+def geometry_only(df: DataFrame, geometry: list[str], template: T.StructType) -> DataFrame:
+    """The geometry of df in the template's columns; its other columns are null."""
+    return df.select(*[F.col(f.name) if f.name in geometry else F.lit(None).cast(f.dataType).alias(f.name) for f in template])
+
+
+def add_columns(df: DataFrame, columns: list[tuple[str, str]], constants: dict[str, object] | None = None) -> DataFrame:
+    """df with typed columns, null or of one value each; a column that is there already keeps its values."""
+    new = {c: F.lit((constants or {}).get(c)).cast(t) for c, t in columns if c not in df.columns}
+    return df.withColumns(new) if new else df
+
+
+def unique_name(df: DataFrame, name: str) -> str:
+    """name, or the first of name_1, name_2, ... that df doesn't have; upper and lower case are the same."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)
+
+
+def state(df: DataFrame) -> DataFrame:
+    """has_rows and n_rows, one row."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select((F.col("n_rows") > 0).alias("has_rows"), "n_rows")
+
+
+def carry(df: DataFrame, other: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    """df with chosen columns of other under new names, joined by key; null where other lacks the key. Keys of other are unique."""
+    return df.join(other.select(F.col(key).alias("_k"), *[F.col(a).alias(f"_{b}") for a, b in fields.items()]), df[key] == F.col("_k"), "left").select(*[df[c] for c in df.columns], *[F.col(f"_{b}").alias(b) for b in fields.values()])
