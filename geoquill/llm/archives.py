@@ -10,9 +10,11 @@ what the ARC line and the HTTP block declare.
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -99,27 +101,33 @@ def http_parts(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
     return block[:end], fields, block[end:]
 
 
-def record_id(page: str) -> str:
-    return f"<urn:x-page:{page}>"
+def record_id(page: str, digest: str, place: str = "") -> str:
+    """The identifier of a page's record: the same for the same page and payload; place tells records without a page id apart."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {digest} {place}')}>"
 
 
-def warc_record(arc: ArcRecord, refers_to: str | None) -> bytes:
-    """A WARC record without the two line ends that close it. refers_to: page of the response with the same payload."""
+def warc_record(arc: ArcRecord, refers_to: str | None, place: str = "") -> bytes:
+    """A WARC record without the two line ends that close it.
+
+    refers_to: page of the response with the same payload. place: where the record
+    stands, for the identifiers of records whose HTTP block names no page.
+    """
     head, fields, payload = http_parts(arc.block)
-    d = arc.date.ljust(14, "0")
+    d, page, digest = arc.date.ljust(14, "0"), fields.get("x-page-id", "-"), hashlib.sha256(payload).hexdigest()
+    block = head if refers_to is not None else arc.block
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if refers_to is not None else 'response'}",
-        f"WARC-Record-ID: {record_id(fields.get('x-page-id', hashlib.sha256(arc.block).hexdigest()))}",
+        f"WARC-Record-ID: {record_id(page, digest, place if page == '-' else '')}",
         f"WARC-Date: {d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z",
         f"WARC-Target-URI: {arc.url}",
         f"WARC-IP-Address: {arc.ip}",
         "Content-Type: application/http; msgtype=response",
-        f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest()}",
+        f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
+        f"WARC-Payload-Digest: sha256:{digest}",
     ]
     if refers_to is not None:
-        lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {record_id(refers_to)}"]
-    block = head if refers_to is not None else arc.block
+        lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"X-Refers-To-Page: {refers_to}"]
     lines += [f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(lines).encode() + block
 
@@ -158,10 +166,15 @@ def write_archives(pages: DataFrame, path: str, version: int = 1, date: str = "1
     """pages (page_id, url, html; nulls: empty) as ARC records, `group` at a time, converted to WARC files under path.
 
     The files are plain gzip; every record ends in two line ends, the first part
-    of each file name is the partition. Ids and payloads may repeat.
+    of each file name is the partition. Ids and payloads may repeat: rows with the
+    same page_id and payload are captures of one record and share its identifier,
+    rows without page_id have identifiers of their own.
     """
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        place = (f"{TaskContext.get().partitionId()}-{n}" for n in count())
         for b in batches:
             rows = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
             for i in range(0, len(rows), group):
@@ -172,7 +185,7 @@ def write_archives(pages: DataFrame, path: str, version: int = 1, date: str = "1
                     legacy.append((url or "", date, "text/html", head.encode() + body))
                     refers.append(None if ref is None else str(ref))
                 got = parse_arc(arc_file(legacy, version))
-                yield pa.RecordBatch.from_arrays([pa.array([warc_record(a, r) for a, r in zip(got, refers, strict=True)], pa.binary())], names=["record"])
+                yield pa.RecordBatch.from_arrays([pa.array([warc_record(a, r, p) for a, r, p in zip(got, refers, place, strict=False)], pa.binary())], names=["record"])
 
     marked = revisits(pages.select("page_id", "url", "html")).select("page_id", "url", F.col("html").cast("binary").alias("html"), F.col("gq_refers").cast("long"))
     write_pieces(marked.mapInArrow(convert, "record binary"), path, "\r\n\r\n", "gzip")
@@ -181,8 +194,7 @@ def write_archives(pages: DataFrame, path: str, version: int = 1, date: str = "1
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each record of the files under path."""
 
-    def page(text: str) -> int | None:
-        own = text.removeprefix("<urn:x-page:").removesuffix(">")
+    def page(own: str) -> int | None:
         return int(own) if own.lstrip("-").isdigit() else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +207,24 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     revisit = fields["WARC-Type"] == "revisit"
                     if not revisit and (len(payload) != int(http["content-length"]) or hashlib.sha256(payload).hexdigest() != digest):
                         raise ValueError("a payload differs from its record")
-                    rows.append((page(fields["WARC-Record-ID"]), int(http["content-length"]), digest, fields["WARC-Type"], page(fields["WARC-Refers-To"]) if revisit else None))
+                    if revisit and fields["WARC-Refers-To"] != record_id(fields["X-Refers-To-Page"], digest):
+                        raise ValueError("a revisit doesn't name its response")
+                    rows.append((page(http.get("x-page-id", "-")), int(http["content-length"]), digest, fields["WARC-Type"], page(fields["X-Refers-To-Page"]) if revisit else None))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     return read_files(spark, path).mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+
+
+def read_arc(spark: SparkSession, path: str) -> DataFrame:
+    """url, ip, date, kind, status, block of each record of the ARC files (plain or gzip) under path, of both versions; files without records give none."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for content in b.column(0):
+                data = content.as_buffer().to_pybytes()
+                rows = list(parse_arc(zlib.decompress(data, 47) if data[:2] == b"\x1f\x8b" else data))
+                texts = [pa.array([getattr(r, k) for r in rows], pa.string()) for k in ("url", "ip", "date", "kind", "status")]
+                yield pa.RecordBatch.from_arrays([*texts, pa.array([r.block for r in rows], pa.binary())], names=["url", "ip", "date", "kind", "status", "block"])
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(read, "url string, ip string, date string, kind string, status string, block binary")

@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside any occurrence of a benchmark window. Null and empty texts have no words, nor hits; repeated rows are reported each; without items nothing is hit."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of documents, written to files and read back. Null and empty texts have the end id alone; repeated ids stand side by side, ordered by text; an empty table gives no rows."""
     import public_tokenizers
 
     path = f"{Workspace(spark, 'token-files').root}"
@@ -32,38 +34,46 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents and of their edited texts. Null is the empty text; of repeated ids each row has a fingerprint; a single document is its own next one."""
     return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and backoff scores of documents. Null and empty texts are one end token; without training documents counts are 0; repeated rows count and are scored each."""
     return katz.held_out_scores(table(spark, sf_dir, "documents"))
 
 
 def op5_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, read back. Null html is the empty payload; a null page_id or url stays possible; of equal payloads the smallest page_id is the response, and so is each row that repeats it."""
     path = f"{Workspace(spark, 'archives').root}/warc"
     archives.write_archives(table(spark, sf_dir, "pages"), path)
     return archives.read_archives(spark, path)
 
 
 def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that no longer one begins with, rendered. A null role is unknown, a null text empty; turns without conv_id belong to no conversation; of equal conversations one stays; an empty table gives no rows."""
     got = conversations.maximal_chats(table(spark, sf_dir, "conversations"))
     return got.select("conv_id", F.col("part").cast("long").alias("part"), "n_turns", "n_equal", F.sha2("text", 256).alias("text_sha256"), F.length("text").cast("long").alias("n_chars"))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents by shared 3-word shingles. Texts without words are linked with nothing; equal texts are one class, so repeats cost nothing; an empty table gives no rows."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of documents. Null and empty texts have a score too; documents without a label, or with a null one, are scored but not learned from; without labels every score is the same."""
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of each document. Null and empty texts have length one; documents that tie in length may take each other's places; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, packing.word_count(docs["text"]))
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, and those that go because an earlier line resembles them. A null text has one empty line; lines without letters and digits stay; rows that repeat id and text change alike."""
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 

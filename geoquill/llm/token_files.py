@@ -177,7 +177,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if entries:
             yield block()
 
-    placed = docs.select("doc_id", "text").repartitionByRange(n or partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    placed = docs.select("doc_id", "text").repartitionByRange(n or partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
     write_pieces(placed.mapInArrow(encode, "block binary"), f"{path}/data")
     head = struct.pack("<4sBI", MAGIC, wide, len(shared)) + shared
     write_pieces(spark.createDataFrame([(bytearray(head),)], "piece binary").coalesce(1), f"{path}/dictionary")

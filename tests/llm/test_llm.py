@@ -1,5 +1,6 @@
 """Operators for training data against brute force on small tables, with nulls, empty texts, ties and repeated rows."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -635,3 +636,39 @@ def test_pipeline(spark):
             assert at.columns == source.columns
         if name in ("line_dedup", "packing"):
             assert set(after) == before
+
+
+def test_archive_identifiers(spark, tmp_path):
+    big = "x" * 200
+    pages = spark.createDataFrame([(1, "http://a/", big), (1, "http://a/", "other"), (2, "http://b/", big), (None, None, "n"), (None, None, "n"), (3, None, None)], "page_id long, url string, html string")
+    archives.write_archives(pages, f"file://{tmp_path}/w")
+    records = []
+    for f in (tmp_path / "w").glob("part-*"):
+        records += archives.parse_warc(gzip.decompress(f.read_bytes()))
+    ids = {fields["WARC-Record-ID"]: fields for fields, _ in records}
+    assert len(ids) == len(records) == 6
+    (revisit,) = [fields for fields in ids.values() if fields["WARC-Type"] == "revisit"]
+    assert ids[revisit["WARC-Refers-To"]]["WARC-Type"] == "response" and ids[revisit["WARC-Refers-To"]]["WARC-Target-URI"] == "http://a/"
+    for fields, block in records:
+        assert fields["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
+
+
+def test_arc_files_as_a_source(spark, tmp_path):
+    rows = [("http://x/", "20200101000000", "text/html", b"HTTP/1.1 200 OK\r\n\r\nbody"), ("http://y/ z", "20200102000000", "text/html", b"")]
+    (tmp_path / "one.arc").write_bytes(archives.arc_file(rows, 1))
+    (tmp_path / "two.arc.gz").write_bytes(gzip.compress(archives.arc_file(rows[:1], 2)))
+    (tmp_path / "none.arc").write_bytes(archives.arc_file([], 1))
+    got = sorted((x.url, x.date, x.status, bytes(x.block)) for x in archives.read_arc(spark, f"file://{tmp_path}").collect())
+    assert got == [("http://x/", "20200101000000", "-", rows[0][3]), ("http://x/", "20200101000000", "200", rows[0][3]), ("http://y/%20z", "20200102000000", "-", b"")]
+
+
+def test_token_files_of_repeated_ids(spark, tmp_path):
+    import public_tokenizers
+
+    rows = [(5, "b b"), (5, "a"), (5, None), (2, "c"), (None, "d")]
+    got = []
+    for k, order in enumerate((rows, rows[::-1])):
+        path = f"file://{tmp_path}/{k}"
+        token_files.write_token_files(spark.createDataFrame(order, "doc_id long, text string"), path, public_tokenizers.path("byte_bpe_50k.json"), n=2)
+        got.append(sorted(map(tuple, token_files.read_token_files(spark, path).collect()), key=lambda r: r[1]))
+    assert got[0] == got[1] and [r[0] for r in got[0]] == [None, 2, 5, 5, 5]
