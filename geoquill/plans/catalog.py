@@ -303,7 +303,7 @@ def largest_per_class(t):
 
 @query("select objtype, min(x) as xmin, min(y) as ymin, max(x) as xmax, max(y) as ymax, cast(floor(avg(x)) as bigint) as cx, cast(floor(avg(y)) as bigint) as cy from pts group by objtype")
 def extents(t):
-    """A16 A17 G41 G55"""
+    """Axis-parallel boxes only"""
     return t.pts.groupBy("objtype").agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax"), F.floor(F.avg("x")).alias("cx"), F.floor(F.avg("y")).alias("cy"))
 
 
@@ -438,14 +438,14 @@ def fixed_segments(t):
 
 @query("select id, xmin - 20 as xmin, ymin - 20 as ymin, xmax + 20 as xmax, ymax + 20 as ymax from boxes where id % 2 = 0 union all select id, xmin + 15, ymin + 15, xmax - 15, ymax - 15 from boxes where id % 2 = 1 and xmax - xmin > 30 and ymax - ymin > 30")
 def buffers(t):
-    """G35 G36 G39"""
+    """G35 G36 on boxes: grown and shrunk"""
     c = ["id", "xmin", "ymin", "xmax", "ymax"]
     return spatial.grow(t.boxes.where("id % 2 = 0").select(*c), 20).unionByName(spatial.grow(t.boxes.where("id % 2 = 1").select(*c), -15))
 
 
 @query(f"with s as (select id, x, y, case when {_SYMBOL} = -99 then 8 else {_SYMBOL} end as s from pts), d as (select *, case when s in (1, 2) then 175 when s = 3 then 160 when s = 4 then 100 when s = 9 then 55 when s in (10, 11) then 130 else 45 end as w, case when s in (1, 2) then 175 when s = 3 then 120 when s = 4 then 100 when s = 9 then 65 when s in (10, 11) then 130 else 45 end as h from s) select id, 2 * x - w as xmin2, 2 * y - h as ymin2, 2 * x + w as xmax2, 2 * y + h as ymax2 from d")
 def symbol_rectangles(t):
-    """G33 G40 S30 P28"""
+    """Axis-parallel rectangles"""
     s = t.pts.withColumn("s", codes.reclassify(codes.symbol_class(F.col("code")), -99, 8))
     size = t.spark.createDataFrame([(k, *v) for k, v in codes.SYMBOL_SIZE.items()], "s int, w int, h int")
     d = s.join(size, "s")
@@ -599,7 +599,7 @@ def reach(t):
 @query("""with recursive two as (select min(line_id) as a, max(line_id) as b from (select src as node, line_id from lines union all select dst, line_id from lines) e group by node having count(*) = 2 and min(line_id) <> max(line_id)),
 s as (select a, b from two union all select b, a from two), r(a, b) as (select line_id, line_id from lines union select r.a, s.b from r join s on r.b = s.a) select a as line_id, min(b) as chain from r group by a""")
 def unsplit_chains(t):
-    """G29 N24 N36 N38"""
+    """Ids of connected lines, without merged geometry"""
     return network.chains(t.lines, work(t))
 
 
@@ -617,7 +617,7 @@ def spanning_forest(t):
 
 @query("select node, count(*) as degree from (select src as node from lines union all select dst from lines) e group by node")
 def node_degrees(t):
-    """N02 N34"""
+    """N02"""
     return network.degrees(t.lines)
 
 
@@ -640,7 +640,7 @@ def gap_acceptance(t):
 
 @query("select line_id, case when abs(z1 - z2) < 3 then 'skip' when z1 < z2 then 'flip' else 'keep' end as action, z2 - z1 <= 2 as passes from (select line_id, src * 7 % 23 as z1, dst * 7 % 23 as z2 from lines) q")
 def orient_lines(t):
-    """Z03 L10 N25"""
+    """By heights at both ends; breaks no cycles"""
     d = t.lines.select("line_id", (F.col("src") * 7 % 23).alias("z1"), (F.col("dst") * 7 % 23).alias("z2"))
     return d.select("line_id", elevation.orientation(F.col("z1"), F.col("z2"), 3).alias("action"), elevation.gate(F.col("z1"), F.col("z2"), 2).alias("passes"))
 
@@ -657,27 +657,27 @@ border as (select a.part, b.part as other, count(*) as len from p a join p b on
 best as (select part, category as new from (select b.part, n.category, row_number() over (partition by b.part order by b.len desc, b.other) as k from border b join n on n.part = b.other and n.n >= 4 join n s on s.part = b.part and s.n < 4) q where k = 1)
 select p.id, coalesce(best.new, p.category) as category from p left join best on best.part = p.part""")
 def eliminate_small_parts(t):
-    """J26 J27 K08 K09 K10 K28 K31 K32"""
+    """Parts under one least size take the category of the longest border; no least size by category"""
     return overlay.eliminate_small(t.landuse, work(t).put(overlay.dissolve_cells(t.landuse, work(t))), 4)
 
 
 @query("""with recursive e as (select a.id as a, b.id as b from boxes a join boxes b on a.xmin <= b.xmax and b.xmin <= a.xmax and a.ymin <= b.ymax and b.ymin <= a.ymax), r(a, b) as (select id, id from boxes union select r.a, e.b from r join e on r.b = e.a),
 c as (select a as id, min(b) as part from r group by a) select c.part, count(*) as members, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from c join boxes b on b.id = c.id group by c.part""")
 def aggregate_polygons(t):
-    """A02 G41 K07 K29"""
+    """Bounding boxes of connected boxes"""
     p = overlay.dissolve_boxes(t.boxes, work(t)).join(t.boxes, "id")
     return p.groupBy("part").agg(F.count(F.lit(1)).alias("members"), F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
 
 
 @query("select col, row, count(*) as n from (select x // 500 as col, y // 500 as row from pts) q group by 1, 2 having count(*) >= 5")
 def overlap_counts(t):
-    """J18 K20"""
+    """Cells that several features cover"""
     return overlay.overlap_counts(t.pts.select(F.floor(F.col("x") / 500).alias("col"), F.floor(F.col("y") / 500).alias("row")), 5)
 
 
 @query("select date_trunc('hour', ts) as start, event_type, count(*) as n, sum(cast(round(value * 100) as bigint)) as total from events group by 1, 2")
 def event_windows(t):
-    """A21 R14 streaming replay, as a batch"""
+    """Hourly counts of events, as a batch; the stream of the same is in geoquill.streaming"""
     return windowed_counts(t.events)
 
 
@@ -765,14 +765,14 @@ def pruned_network(t):
 
 @query("select count(*) as triangles from (select distinct l1.src, l1.dst, l2.dst from lines l1 join lines l2 on l1.dst = l2.src join lines l3 on l3.src = l1.src and l3.dst = l2.dst) q")
 def directed_triangles(t):
-    """N06 N33"""
+    """How many directed cycles of three nodes there are; removes none"""
     a, b, c = t.lines.select(F.col("src").alias("a"), F.col("dst").alias("b")), t.lines.select(F.col("src").alias("b"), F.col("dst").alias("c")), t.lines.select(F.col("src").alias("a"), F.col("dst").alias("c"))
     return a.join(b, "b").join(c, ["a", "c"]).select("a", "b", "c").distinct().agg(F.count(F.lit(1)).alias("triangles"))
 
 
 @query("select line_id, case when src - src % 8 = dst - dst % 8 then null else src - src % 8 end as src, case when src - src % 8 = dst - dst % 8 then null else dst - dst % 8 end as dst from lines where src - src % 8 <> dst - dst % 8")
 def collapse_rings(t):
-    """Groups of eight nodes stand in for rings"""
+    """Groups of eight nodes become one point each; no rings are detected"""
     nodes = network.ends(t.lines).select("node").distinct()
     base = nodes.select((F.col("node") - F.col("node") % 8).alias("node")).unionByName(nodes).distinct()
     return network.collapse_rings(t.lines.select("line_id", "src", "dst"), base.withColumn("ring", F.col("node") - F.col("node") % 8))
@@ -782,7 +782,7 @@ def collapse_rings(t):
 case when a.x = h.x and a.y = h.y then 1.0 else (a.x - h.x) / sqrt(cast((a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) as double)) end as ux, case when a.x = h.x and a.y = h.y then 0.0 else (a.y - h.y) / sqrt(cast((a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) as double)) end as uy,
 row_number() over (partition by a.id order by (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y), h.id) as r from pts a join hubs h on (a.x - h.x) * (a.x - h.x) + (a.y - h.y) * (a.y - h.y) < 10000) q where r = 1""")
 def push_away(t):
-    """Points nearer than 100 move to 100 from the hub"""
+    """Points nearer than 100 move to 100 from the hub; nothing further is displaced"""
     near = spatial.nearest(t.pts, t.hubs, 1, 100).where("d2 < 10000")
     d = near.join(t.pts.select(F.col("id").alias("a_id"), "x", "y"), "a_id").join(t.hubs.select(F.col("id").alias("b_id"), F.col("x").alias("hx"), F.col("y").alias("hy")), "b_id")
     n = F.sqrt(F.col("d2").cast("double"))
@@ -792,7 +792,7 @@ def push_away(t):
 
 @query("""select a.objtype as a_type, b.objtype as b_type, count(*) as hits, count(*) >= 10 as parallel from pts a join pts b on a.objtype <> b.objtype and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2500 group by 1, 2""")
 def parallel_rule(t):
-    """Q40 K39"""
+    """Counts of near points of two types; lines are not compared"""
     k = t.pts.select("id", "objtype")
     p = spatial.within_distance(t.pts, t.pts, 50).join(k.toDF("a_id", "a_type"), "a_id").join(k.toDF("b_id", "b_type"), "b_id").where("a_type <> b_type")
     n = p.groupBy("a_type", "b_type").agg(F.count(F.lit(1)).alias("hits"))
@@ -801,7 +801,7 @@ def parallel_rule(t):
 
 @query("select line_id, case when class is null then 10 else class end as hierarchy, case when length_cm <= 12000 then 'drop' when length_cm > 14000 then 'keep' else 'check' end as noise from lines")
 def class_rules(t):
-    """Q20 Q11"""
+    """Q20: class to hierarchy, 10 without a class; a length rule beside it"""
     return t.lines.select("line_id", F.coalesce("class", F.lit(10)).alias("hierarchy"), F.when(F.col("length_cm") <= 12000, "drop").when(F.col("length_cm") > 14000, "keep").otherwise("check").alias("noise"))
 
 
