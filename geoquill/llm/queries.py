@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquill.llm import archives, conversations, decontaminate, fingerprints, katz, lines, neardup, packing, token_files, toxicity
+from geoquill.llm import archives, codes, conversations, decontaminate, fingerprints, katz, lines, neardup, packing, repeats, resample, token_files, toxicity
 from geoquill.workspace import Workspace
 
 
@@ -77,8 +77,28 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the longer documents, drawn towards the benchmark's words. Null and empty texts have no features; a null id ranks before others; repeated rows are scored and drawn each; an empty table gives no rows."""
+    got = resample.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 25, 20, 7, ["doc_id"])
+    return got.select("doc_id", F.col("gq_features").alias("n_features"), F.col("gq_weight").alias("weight"), F.col("gq_score").alias("score"), F.col("gq_rank").alias("rank"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of vectors and their errors. Null vectors and those with null or non-finite components are dropped; a null label is a label; repeated rows are coded each; an empty table gives no rows."""
+    rows, books = codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "embedding", "vec_id", ["vec_id", "label"])
+    rows = rows.select("vec_id", "label", codes.hex_code(F.col("gq_codes")).alias("code"), F.col("gq_error").alias("error"))
+    got = codes.with_group_sum(rows, "label", "error", "label_error", Workspace(spark, "codes"))
+    return got.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that an earlier document's passage covers, removed. Null and empty texts have no words; rows without id lose nothing and take nothing from others; rows of one id don't count as earlier than each other; an empty table gives no rows."""
+    got = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 13)
+    return got.select("doc_id", F.col("gq_words").alias("n_words"), F.col("gq_removed").alias("n_removed"), F.sha2(F.coalesce("gq_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op4_katz, op5_archives, op6_chats, op7_near_duplicates, op8_toxicity, op9_packing, op10_lines)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_fingerprints, op4_katz, op5_archives, op6_chats, op7_near_duplicates, op8_toxicity, op9_packing, op10_lines, op11_resampling, op12_vector_codes, op13_repeats)}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
