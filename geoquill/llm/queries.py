@@ -160,5 +160,56 @@ select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, low.c as compon
 from w left join n using (r) join low using (r)"""
 
 
+#: crc32 by its table of 256 remainders, made from the polynomial; byte values from hexadecimal digits.
+OP11 = rf"""
+with t as (select list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by k) as t from (select cast(range as bigint) as k from range(256))),
+w as (
+  select row_number() over () as r, 1 as side, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+  union all select 0, 2, null, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+f as (select side, r, unnest(w) as f from w union all select side, r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from w where len(w) > 1),
+h as (select f, hex(encode(f)) as x from (select distinct f from f)),
+b as (
+  select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: 16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1)), lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295) % 10000 as bucket from h, t),
+n as (select side, r, bucket, count(*) as n from f join b using (f) group by all),
+c as (select range as bucket, coalesce(s, 0) as s, coalesce(t, 0) as t from range(10000) left join (select bucket, sum(n) filter (side = 1) as s, sum(n) filter (side = 2) as t from n group by 1) m on m.bucket = range),
+g as (select bucket, floor(1000 * ln(cast((t + 1) * (sum(s) over () + 10000) as double) / cast((s + 1) * (sum(t) over () + 10000) as double))) as gain from c),
+d as (select r, sum(n) as n, cast(floor(sum(n * gain) / sum(n)) as bigint) as weight from n join g using (bucket) where side = 1 group by r),
+s as (
+  select w.r, w.doc_id, len(w.w) as words, cast(coalesce(d.n, 0) as bigint) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('7:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) + 0.5) / 4294967296))) as bigint) as score
+  from w left join d using (r) where side = 1),
+o as (select r, row_number() over (order by score desc, doc_id nulls first) as rank, count(*) over () as n from s where words >= 20)
+select doc_id, n_features, weight, score, case when rank <= 25 * n // 100 then rank end as rank from s left join o using (r)"""
+
+_NEAREST = """{a} as (
+  select r, part, v, entry, dist from (select r, part, v, entry, list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) as dist from p join {b} using (part))
+  qualify row_number() over (partition by r, part order by dist, entry) = 1)"""
+_MEANS = """{b} as (
+  with m as (select part, entry, i, cast(floor(sum(x) / count(*)) as bigint) as x from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as i from {a}) group by all), n as (select part, entry, list(x order by i) as c from m group by all)
+  select o.part, o.entry, coalesce(n.c, o.c) as c from {old} o left join n using (part, entry))"""
+OP12 = f"""
+with e as (
+  select row_number() over (order by vec_id nulls last) - 1 as r, vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * x) as bigint)) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select r, part, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] as v from (select r, v, unnest(range(16)) as part from e)),
+b0 as (select part, r as entry, v as c from p where r < 64),
+{_NEAREST.format(a="a0", b="b0")}, {_MEANS.format(a="a0", b="b1", old="b0")},
+{_NEAREST.format(a="a1", b="b1")}, {_MEANS.format(a="a1", b="b2", old="b1")},
+{_NEAREST.format(a="a2", b="b2")},
+c as (select r, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' order by part) as code, cast(sum(dist) as bigint) as error from a2 group by r),
+k as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as k from b2)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, k as codebooks_sha256 from e join c using (r), k"""
+
+OP13 = r"""
+with w as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select r, doc_id, i, array_to_string(w[i:i + 12], ' ') as s from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from w where doc_id is not null)),
+f as (select s, min(doc_id) as first_id from win group by s),
+gone as (select distinct r, k from (select r, unnest(range(i, i + 13)) as k from win join f using (s) where first_id < doc_id)),
+each as (select r, unnest(w) as x, generate_subscripts(w, 1) as k from w),
+kept as (select r, string_agg(x, ' ' order by k) as kept from each anti join gone using (r, k) group by r),
+n as (select r, count(*) as n from gone group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join n using (r) left join kept using (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_near_duplicates": OP7, "op1_decontaminate": OP1, "op5_archives": OP5, "op6_chats": OP6}
+    return {"op11_resampling": OP11, "op12_vector_codes": OP12, "op13_repeats": OP13, "op7_near_duplicates": OP7, "op1_decontaminate": OP1, "op5_archives": OP5, "op6_chats": OP6}
