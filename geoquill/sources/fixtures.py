@@ -26,6 +26,8 @@ DERIVED = {
     "landuse": """select k as id, k % 64 as col, cast(floor(k / 64.0) as bigint) as row,
   case (k * k * 31 + k * 7) % 6 when 0 then 'Skog' when 1 then 'Myr' when 2 then 'Vann' when 3 then 'Bebyggelse' when 4 then 'Dyrket' else 'Aapent' end as category,
   main, sub, cast(k % 3 as varchar(9)) as ground from (select cast(o_orderkey as bigint) as k, o_orderstatus as main, o_orderpriority as sub from orders) o""",
+    "diamonds": """select k as id, g, k % 2 as layer, (g * g * 37 + g * 7919) % 10007 + (k % 4) * 7 as cx, (g * g * g * 13 + g * 3571) % 10007 + (k % 3) * 5 as cy, 6 + s % 9 as r, case when k % 5 = 0 then 2 + s % 9 else 0 end as h
+  from (select cast(p_partkey as bigint) as k, cast(floor(p_partkey / 4.0) as bigint) as g, cast(p_size as bigint) as s from part) p""",
     "rules": """select * from (values (1, 'Skog', '*', '1-URGENT', '*', 'Tett', 'N'), (2, 'Skog', 'O', '*', '*', 'Aapen', 'J'), (3, 'Skog', '*', '*', '2', 'Lav', 'J'),
   (4, 'Myr', 'F', '*', '0', 'Vaat', 'N'), (5, 'Myr', '*', '*', '*', 'Torr', 'J'), (6, 'Vann', '*', '2-HIGH', '1', 'Elv', 'N'), (7, 'Dyrket', 'P', '*', '*', 'Beite', 'J')) as r(rule_no, a, h, u, g, new_class, pass)""",
 }
