@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from geoquill.functions import codes, geometry
 from geoquill.operators import clusters, elevation, gaps, network, overlay, partitioning, spatial
 from geoquill.operators.graph import connected_components
-from geoquill.plans import edits, networks, polygons, runs, shapes  # noqa: F401  their queries are registered too
+from geoquill.plans import edits, gapfill, networks, polygons, runs, shapes  # noqa: F401  their queries are registered too
 from geoquill.plans.registry import query, registered, sql_of, work
 from geoquill.sources import tables
 from geoquill.streaming.replay import windowed_counts
@@ -235,7 +235,7 @@ def intersect_overlay(t):
 
 @query("select l.id, case when r.new_class is null then l.category else r.new_class end as new_class, r.pass from landuse l left join (select id, new_class, pass from (select l.id, r.new_class, r.pass, row_number() over (partition by l.id order by r.rule_no) as n from landuse l join rules r on l.category = r.a and (r.h = '*' or r.h = l.main) and (r.u = '*' or r.u = l.sub) and (r.g = '*' or r.g = l.ground)) q where n = 1) r on l.id = r.id")
 def wildcard_rules(t):
-    """J14 P29 S25"""
+    """Rules from a table of literals"""
     return overlay.wildcard_rules(t.landuse, t.rules, ["category", "main", "sub", "ground"], ["a", "h", "u", "g"]).select("id", "new_class", "pass")
 
 
@@ -537,7 +537,7 @@ _REACH = "both_ as (select src as a, dst as b from lines union all select dst, s
 
 @query(f"with recursive {_REACH} select l.line_id, cc.component from lines l join cc on cc.node = l.src")
 def line_components(t):
-    """N08 N09 N10 N12 A24"""
+    """N08 N09 N10"""
     return network.line_components(t.lines, work(t))
 
 
@@ -599,7 +599,7 @@ def reach(t):
 @query("""with recursive two as (select min(line_id) as a, max(line_id) as b from (select src as node, line_id from lines union all select dst, line_id from lines) e group by node having count(*) = 2 and min(line_id) <> max(line_id)),
 s as (select a, b from two union all select b, a from two), r(a, b) as (select line_id, line_id from lines union select r.a, s.b from r join s on r.b = s.a) select a as line_id, min(b) as chain from r group by a""")
 def unsplit_chains(t):
-    """Ids of connected lines, without merged geometry"""
+    """Ids of connected lines, without merged geometry"""
     return network.chains(t.lines, work(t))
 
 
@@ -632,7 +632,7 @@ def gap_candidates(t):
 
 @query(None)
 def gap_acceptance(t):
-    """Rejects cycles only"""
+    """Of dangles; rejects cycles only"""
     w = gaps.winners(work(t).put(gaps.candidates(t.lines, 250, 3, work(t))))
     a = gaps.accept(w)
     return w.join(a, ["a_id", "b_id"]).select("a_id", "b_id", "source", gaps.edit_operation(F.col("source")).alias("operation"), F.round(F.col("score") * 1000000).cast(L).alias("score_ppm"), "accepted", "reason")
@@ -729,7 +729,7 @@ def road_scores(t):
 
 @query("select objtype, max(n) as most, min(case when n = m then cell end) as at_cell from (select objtype, cell, n, max(n) over (partition by objtype) as m from (select objtype, (x // 1000) * 100 + y // 1000 as cell, count(*) as n from pts group by 1, 2) q) r group by objtype")
 def peak_partition(t):
-    """A20 A25"""
+    """A20"""
     c = t.pts.groupBy("objtype", (F.floor(F.col("x") / 1000) * 100 + F.floor(F.col("y") / 1000)).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     return c.groupBy("objtype").agg(F.max("n").alias("most"), F.max_by("cell", F.struct("n", -F.col("cell"))).alias("at_cell"))
 
@@ -759,7 +759,7 @@ def short_dead_ends(t):
 
 @query(None)
 def pruned_network(t):
-    """Rounds to the fixed point"""
+    """Dead ends by length; rounds to the fixed point"""
     return network.prune_dead_ends(t.lines.select("line_id", "src", "dst", "length_cm"), work(t), 12000)
 
 

@@ -26,6 +26,11 @@ DERIVED = {
     "landuse": """select k as id, k % 64 as col, cast(floor(k / 64.0) as bigint) as row,
   case (k * k * 31 + k * 7) % 6 when 0 then 'Skog' when 1 then 'Myr' when 2 then 'Vann' when 3 then 'Bebyggelse' when 4 then 'Dyrket' else 'Aapent' end as category,
   main, sub, cast(k % 3 as varchar(9)) as ground from (select cast(o_orderkey as bigint) as k, o_orderstatus as main, o_orderpriority as sub from orders) o""",
+    "tracks": """select k as id, case when own then 2 * k else 2 * k - 1 end as src, 2 * k + 1 as dst, sx as x1, sy as y1, sx + (k % 4) * 15 - 20 as xm, sy + (k % 3) * 15 - 10 as ym,
+  case when own then ex else sx + (k % 6) * 40 - 90 end as x2, case when own then ey else sy + (k % 11) * 20 - 105 end as y2
+  from (select k, own, case when own then ox else ox + (b % 7) * 40 - 120 end as sx, case when own then oy else oy + (b % 5) * 50 - 90 end as sy, ox + (b % 7) * 40 - 120 as ex, oy + (b % 5) * 50 - 90 as ey
+    from (select k, b, b = k as own, (b * b * 31 + b * 7919) % 10007 as ox, (b * b * b * 17 + b * 104729) % 10007 as oy
+      from (select k, case when k % 3 = 1 then k - 1 else k end as b from (select cast(c_custkey as bigint) as k from customer) c) d) e) f""",
     "diamonds": """select k as id, g, k % 2 as layer, (g * g * 37 + g * 7919) % 10007 + (k % 4) * 7 as cx, (g * g * g * 13 + g * 3571) % 10007 + (k % 3) * 5 as cy, 6 + s % 9 as r, case when k % 5 = 0 then 2 + s % 9 else 0 end as h
   from (select cast(p_partkey as bigint) as k, cast(floor(p_partkey / 4.0) as bigint) as g, cast(p_size as bigint) as s from part) p""",
     "rules": """select * from (values (1, 'Skog', '*', '1-URGENT', '*', 'Tett', 'N'), (2, 'Skog', 'O', '*', '*', 'Aapen', 'J'), (3, 'Skog', '*', '*', '2', 'Lav', 'J'),
