@@ -20,7 +20,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from zlib import crc32
 
 import ahocorasick
 import numpy as np
@@ -92,18 +92,19 @@ def _keyed(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, window: int) -> DataFrame:
-    """(home, doc_id, gq_text_hash, at, n, words): runs of windows with one home; n windows from word `at`; docs has the document's keys and homes."""
+    """(home, doc_id, gq_text_hash, at, words, hashes): runs of windows with one home, from word `at`, and the hash of each window; docs has the keys of the document and their homes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
-            for doc, th, text, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            hashes = [np.empty(0, np.int64)]
+            known = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in b.columns[3:]]
+            for i, (doc, th, text) in enumerate(zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)):
                 words = words_of(text)
-                keys = window_hashes(words, window)[0]
-                if not len(keys):
+                keys, own = window_hashes(words, window)
+                have, homes = (v[at[i] : at[i + 1]] for at, v in known)
+                if not len(keys) or not len(have):
                     continue
-                have = np.array([k["key"] for k in known], np.int64)
-                homes = np.array([k["home"] for k in known], np.int64)
                 order = np.argsort(have)
                 have, homes = have[order], homes[order]
                 place = np.minimum(np.searchsorted(have, keys), len(have) - 1)
@@ -111,66 +112,66 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
                 turn = np.flatnonzero(np.r_[True, (hit[1:] != hit[:-1]) | (hit[1:] & (home[1:] != home[:-1]))])
                 for a, z in zip(turn.tolist(), [*turn[1:].tolist(), len(keys)], strict=True):
                     if hit[a]:
-                        rows.append((int(home[a]), doc, th, a, z - a, b" ".join(words[a : z + window - 1])))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.binary())], names=["home", "doc_id", "gq_text_hash", "at", "n", "words"])
+                        rows.append((int(home[a]), doc, th, a, b" ".join(words[a : z + window - 1])))
+                        hashes.append(own[a:z])
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            ends = np.cumsum([len(h) for h in hashes]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(hashes)))], names=["home", "doc_id", "gq_text_hash", "at", "words", "hashes"])
 
-    return docs.mapInArrow(cut, "home long, doc_id long, gq_text_hash long, at long, n long, words binary")
-
-
-def _windows(pieces: DataFrame, window: int) -> DataFrame:
-    """(home, hash, doc_id) of the windows of pieces, once for each piece."""
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hashes = [np.unique(window_hashes(words_of(w), window)[1]) for w in b.column(2).to_pylist()]
-            take = pa.array(np.repeat(np.arange(b.num_rows), [len(h) for h in hashes]))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), pa.array(np.concatenate([*hashes, np.empty(0, np.int64)])), b.column(1).take(take)], names=["home", "hash", "doc_id"])
-
-    return pieces.select("home", "doc_id", "words").mapInArrow(windows, "home long, hash long, doc_id long")
+    return docs.mapInArrow(cut, "home long, doc_id long, gq_text_hash long, at long, words binary, hashes array<long>")
 
 
 class Automaton:
     """Windows of words with the id of the first document that holds each.
 
-    Words are numbered, and a number is written as two letters of two alphabets, so
-    that a node has few children to try and matches begin at words.
+    The automaton reads one letter for each word, of an alphabet of 128, so that nodes
+    have few children to try. What it finds is confirmed word by word.
     """
 
     def __init__(self, passages: list[tuple[int, bytes]], window: int):
         """passages: first document, and words of which every window is a pattern; at least one window."""
         self.window = window
-        self.numbers: dict[bytes, int] = {}
-        for _, words in passages:
-            for w in words_of(words):
-                self.numbers.setdefault(w, len(self.numbers) + 1)
-        self.base = int(len(self.numbers) ** 0.5) + 1
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.words: list[list[bytes]] = []
+        self.machine = ahocorasick.Automaton()
         # of equal windows the one added last stays: that of the smallest document
-        for first, words in sorted(passages, key=lambda p: -p[0]):
-            ids = self._letters(words)
-            for i in range(0, len(ids) - 2 * window + 1, 2):
-                self.machine.add_word(ids[i : i + 2 * window], first)
+        for first, text in sorted(passages, key=lambda p: -p[0]):
+            words = words_of(text)
+            letters = _letters(words)
+            k = len(self.words)
+            self.words.append(words)
+            for i in range(len(words) - window + 1):
+                pattern = letters[i : i + window]
+                same = self.machine.get(pattern, ())
+                # different windows of equal letters all stay
+                others = tuple(x for x in same if self.words[x[1]][x[2] : x[2] + window] != words[i : i + window]) if same else ()
+                self.machine.add_word(pattern, ((first, k, i), *others))
         self.machine.make_automaton()
 
-    def _letters(self, words: bytes) -> tuple[int, ...]:
-        w = words_of(words)
-        ids = np.fromiter(map(self.numbers.get, w, repeat(0)), np.int64, len(w))
-        return tuple(np.stack([ids // self.base, ids % self.base + self.base], 1).ravel().tolist())
-
-    def covered(self, words: bytes, doc: int) -> list[list[int]]:
+    def covered(self, text: bytes, doc: int) -> list[list[int]]:
         """[begin, end) of words that windows of earlier documents cover, merged."""
+        words, window = words_of(text), self.window
         spans: list[list[int]] = []
-        for at, first in self.machine.iter(self._letters(words)):
-            if first < doc:
-                end = (at + 1) // 2
-                if spans and end - self.window <= spans[-1][1]:
-                    spans[-1][1] = end
-                else:
-                    spans.append([end - self.window, end])
+        last = (-1, -1, -1)
+        for at, found in self.machine.iter(_letters(words)):
+            for first, k, i in found:
+                if first >= doc:
+                    continue
+                own = self.words[k]
+                # where the window before matched too, one word is new
+                if words[at] == own[i + window - 1] if (at - 1, k, i - 1) == last else words[at - window + 1 : at + 1] == own[i : i + window]:
+                    last = (at, k, i)
+                    if spans and at + 1 - window <= spans[-1][1]:
+                        spans[-1][1] = at + 1
+                    else:
+                        spans.append([at + 1 - window, at + 1])
+                    break
         return spans
 
 
+def _letters(words: list[bytes]) -> str:
+    return (np.fromiter(map(crc32, words), np.uint32, len(words)) & 127).astype(np.uint8).tobytes().decode("ascii")
+
+
 def _compile(window: int):
     """For one shard: windows (hash, first document) and pieces of first documents, to passages that hold each window once."""
 
@@ -178,11 +179,11 @@ def _compile(window: int):
         first_of = dict(zip(windows.column("hash").to_pylist(), windows.column("first_id").to_pylist(), strict=True))
         shard = windows.column("shard")[0].as_py() if windows.num_rows else None
         rows = []
-        for doc, text in zip(pieces.column("doc_id").to_pylist(), pieces.column("words").to_pylist(), strict=True):
+        for doc, text, hashes in zip(*(pieces.column(c).to_pylist() for c in ("doc_id", "words", "hashes")), strict=True):
             if not first_of:
                 break
-            words = words_of(text)
-            new = [i for i, h in enumerate(window_hashes(words, window)[1].tolist()) if first_of.get(h) == doc and first_of.pop(h) == doc]
+            new = [i for i, h in enumerate(hashes) if first_of.get(h) == doc and first_of.pop(h) == doc]
+            words = words_of(text) if new else []
             begin = 0
             for j in range(1, len(new) + 1):
                 if j == len(new) or new[j] != new[j - 1] + 1:
@@ -214,13 +215,14 @@ def repeated_spans(docs: DataFrame, window: int = 13, ws: Workspace | None = Non
     """
     ws = ws or Workspace(docs.sparkSession, "repeats")
     own = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("gq_text_hash"), F.col("text").cast("binary").alias("text"))
-    keyed = _keyed(own, window)
+    keyed = ws.put(_keyed(own, window), "keyed")
     homes = ws.put(keyed.groupBy("key").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).where("home < last").select("key", "home"), "homes")
-    known = ws.put(keyed.join(homes, "key").groupBy("doc_id", "gq_text_hash").agg(F.collect_set(F.struct("key", "home")).alias("known")), "known")
-    ws.drop(homes)
-    pieces = ws.put(_pieces(own.join(known, ["doc_id", "gq_text_hash"]).select("doc_id", "gq_text_hash", "text", "known"), window), "pieces")
+    known = keyed.join(homes, "key").groupBy("doc_id", "gq_text_hash").agg(F.collect_set(F.struct("key", "home")).alias("known"))
+    known = ws.put(known.select("doc_id", "gq_text_hash", F.col("known.key").alias("keys"), F.col("known.home").alias("homes")), "known")
+    ws.drop(homes, keyed)
+    pieces = ws.put(_pieces(own.join(known, ["doc_id", "gq_text_hash"]).select("doc_id", "gq_text_hash", "text", "keys", "homes"), window), "pieces")
     ws.drop(known)
-    windows = _windows(pieces, window).groupBy("home", "hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last")).where("first_id < last").drop("last")
+    windows = pieces.select("home", "doc_id", F.explode("hashes").alias("hash")).groupBy("home", "hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last")).where("first_id < last").drop("last")
     windows = ws.put(windows, "windows")
     shards = max(1, windows.count() // SHARD)
     # homes with more windows than an automaton should hold have several, and their pieces meet each of these; so many homes at most as there are shards
@@ -229,11 +231,11 @@ def repeated_spans(docs: DataFrame, window: int = 13, ws: Workspace | None = Non
     windows = windows.join(many, "home", "left").withColumn("part", F.pmod("hash", F.coalesce("more", F.lit(0)) + 1))
     firsts = windows.select("home", F.col("first_id").alias("doc_id")).distinct()
     meets = pieces.join(many, "home", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("more", F.lit(0).cast("long")))))
-    meets = meets.select("home", shard(F.col("part")).alias("shard"), "doc_id", "gq_text_hash", "at", "n", "words")
+    meets = meets.select("home", shard(F.col("part")).alias("shard"), "doc_id", "gq_text_hash", "at", "words", "hashes")
     by = windows.select(shard(F.col("part")).alias("shard"), "hash", "first_id").groupBy("shard")
-    passages = ws.put(by.cogroup(meets.join(firsts, ["home", "doc_id"], "left_semi").select("shard", "doc_id", "words").groupBy("shard")).applyInArrow(_compile(window), "shard long, first_id long, passage binary"), "passages")
+    passages = ws.put(by.cogroup(meets.join(firsts, ["home", "doc_id"], "left_semi").select("shard", "doc_id", "words", "hashes").groupBy("shard")).applyInArrow(_compile(window), "shard long, first_id long, passage binary"), "passages")
     # how many shares a shard's pieces are dealt to
-    loads = ws.put(meets.groupBy("shard").agg((F.sum("n") / LOAD).cast("long").alias("shares")).where("shares > 0"), "loads")
+    loads = ws.put(meets.groupBy("shard").agg((F.sum(F.size("hashes")) / LOAD).cast("long").alias("shares")).where("shares > 0"), "loads")
     last = F.coalesce("shares", F.lit(0).cast("long"))
     share = F.pmod(F.xxhash64("doc_id", "gq_text_hash", "at"), last + 1)
     dealt = meets.join(loads, "shard", "left").withColumn("share", share).select("shard", "share", "doc_id", "gq_text_hash", "at", "words")

@@ -241,3 +241,10 @@ def test_queries_hold_on_whole_tables(spark):
         sums[label] += e
     got = sorted(tuple(x) for x in queries.op12_vector_codes(spark, sf).select("vec_id", "code", "error", "label_error").collect())
     assert got == sorted((k, "".join(f"{j:02x}" for j in c), e, sums[label]) for k, label, c, e in want)
+
+
+def test_automaton_confirms_words_of_equal_letters(monkeypatch):
+    monkeypatch.setattr(repeats, "_letters", lambda words: "a" * len(words))
+    machine = repeats.Automaton([(3, b"a b c"), (4, b"d e f g"), (2, b"a b c")], 3)
+    assert machine.covered(b"x d e f g a b c", 9) == [[1, 8]] and machine.covered(b"x d e f g a b c", 3) == [[5, 8]]
+    assert machine.covered(b"c b a d e", 9) == []
