@@ -25,7 +25,6 @@ from zlib import crc32
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,11 +57,44 @@ def _rolled(h: np.ndarray, k: int, seed: int) -> np.ndarray:
     return _mixed(out)
 
 
-def window_hashes(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, hash) of each window, as signed 64-bit numbers; both depend on the window's words alone."""
-    if len(words) < window:
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+#: Bytes hashed at once, and powers of an odd number for places in words of up to so many bytes.
+CHUNK = 1 << 20
+_POWERS = np.cumprod(np.full(1 << 12, np.uint64(0xD6E8FEB86659FD93)))
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, hash) of each word, in whole arrays: a word is the sum of its bytes' numbers times powers by their place."""
+    out: list[tuple[np.ndarray, ...]] = []
+    at = 0
+    while at < len(text):
+        to = at + CHUNK
+        if to < len(text):
+            # words aren't divided
+            space = [p for p in (text.find(c, to) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if p >= 0]
+            to = min(space, default=len(text))
+        a = np.frombuffer(text, np.uint8, min(to, len(text)) - at, at)
+        blank = _SPACE[a]
+        edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        begin, end = edge[::2], edge[1::2]
+        if len(begin):
+            size = end - begin
+            first = np.cumsum(size) - size
+            place = np.arange(size.sum()) - np.repeat(first, size)
+            powers = _POWERS if size.max() <= len(_POWERS) else np.cumprod(np.full(size.max(), _POWERS[0]))
+            h = np.add.reduceat(_BYTE[a[~blank]] * powers[place], first)
+            out.append((begin + at, end + at, _mixed(h + size.astype(np.uint64))))
+        at = to
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if len(out) > 1 else out[0]
+
+
+def window_hashes(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, hash) of each window of words with these hashes, as signed 64-bit numbers; both depend on the window's words alone."""
+    if len(h) < window:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     run = min(RUN, (window + 1) // 2)
     low, span = _rolled(h, run, 1), 1
     want = window - run + 1
@@ -80,7 +112,7 @@ def _keyed(docs: DataFrame, window: int) -> DataFrame:
         for b in batches:
             out, n = [], []
             for text in b.column(2).to_pylist():
-                k = window_hashes(words_of(text), window)[0]
+                k = window_hashes(word_hashes(text)[2], window)[0]
                 k = np.unique(k[np.flatnonzero(np.r_[True, k[1:] != k[:-1]])]) if len(k) else k
                 out.append(k)
                 n.append(len(k))
@@ -100,8 +132,8 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
             hashes = [np.empty(0, np.int64)]
             known = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in b.columns[3:]]
             for i, (doc, th, text) in enumerate(zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)):
-                words = words_of(text)
-                keys, own = window_hashes(words, window)
+                begin, end, h = word_hashes(text)
+                keys, own = window_hashes(h, window)
                 have, homes = (v[at[i] : at[i + 1]] for at, v in known)
                 if not len(keys) or not len(have):
                     continue
@@ -112,7 +144,7 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
                 turn = np.flatnonzero(np.r_[True, (hit[1:] != hit[:-1]) | (hit[1:] & (home[1:] != home[:-1]))])
                 for a, z in zip(turn.tolist(), [*turn[1:].tolist(), len(keys)], strict=True):
                     if hit[a]:
-                        rows.append((int(home[a]), doc, th, a, b" ".join(words[a : z + window - 1])))
+                        rows.append((int(home[a]), doc, th, a, text[begin[a] : end[z + window - 2]]))
                         hashes.append(own[a:z])
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
             ends = np.cumsum([len(h) for h in hashes]).astype(np.int32)
@@ -124,48 +156,62 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
 class Automaton:
     """Windows of words with the id of the first document that holds each.
 
-    The automaton reads one letter for each word, of an alphabet of 128, so that nodes
-    have few children to try. What it finds is confirmed word by word.
+    A passage is cut into blocks of (window + 1) // 2 words; every window of it holds
+    at least one of these whole, so blocks are the patterns: where one is found, its
+    surroundings are compared. A block that several places of passages share already is
+    not listed for more; windows around such are patterns themselves. The automaton
+    reads one letter for each word, of an alphabet of 128, so that nodes have few
+    children to try. All that it finds is confirmed word by word.
     """
 
+    #: Places that a block is listed for.
+    SHARED = 8
+
     def __init__(self, passages: list[tuple[int, bytes]], window: int):
         """passages: first document, and words of which every window is a pattern; at least one window."""
-        self.window = window
-        self.words: list[list[bytes]] = []
-        self.machine = ahocorasick.Automaton()
-        # of equal windows the one added last stays: that of the smallest document
-        for first, text in sorted(passages, key=lambda p: -p[0]):
-            words = words_of(text)
+        self.window, self.block = window, (window + 1) // 2
+        self.passages = [(first, words_of(text)) for first, text in passages]
+        patterns: dict[str, list[tuple[int, int]]] = {}
+        for k, (_, words) in enumerate(self.passages):
             letters = _letters(words)
-            k = len(self.words)
-            self.words.append(words)
-            for i in range(len(words) - window + 1):
-                pattern = letters[i : i + window]
-                same = self.machine.get(pattern, ())
-                # different windows of equal letters all stay
-                others = tuple(x for x in same if self.words[x[1]][x[2] : x[2] + window] != words[i : i + window]) if same else ()
-                self.machine.add_word(pattern, ((first, k, i), *others))
+            for p in range(0, len(words) - self.block + 1, self.block):
+                places = patterns.setdefault(letters[p : p + self.block], [])
+                if len(places) < self.SHARED or window == self.block:
+                    places.append((k, p))
+                else:
+                    for o in range(max(0, p + self.block - window), min(p, len(words) - window) + 1):
+                        patterns.setdefault(letters[o : o + window], []).append((k, o))
+        self.machine = ahocorasick.Automaton()
+        for letters, places in patterns.items():
+            self.machine.add_word(letters, (len(letters), places))
         self.machine.make_automaton()
 
     def covered(self, text: bytes, doc: int) -> list[list[int]]:
         """[begin, end) of words that windows of earlier documents cover, merged."""
         words, window = words_of(text), self.window
         spans: list[list[int]] = []
-        last = (-1, -1, -1)
-        for at, found in self.machine.iter(_letters(words)):
-            for first, k, i in found:
-                if first >= doc:
+        for at, (size, places) in self.machine.iter(_letters(words)):
+            begin, end, more = at + 1 - size, at + 1, window - size
+            for k, p in places:
+                first, own = self.passages[k]
+                if first >= doc or words[begin:end] != own[p : p + size]:
                     continue
-                own = self.words[k]
-                # where the window before matched too, one word is new
-                if words[at] == own[i + window - 1] if (at - 1, k, i - 1) == last else words[at - window + 1 : at + 1] == own[i : i + window]:
-                    last = (at, k, i)
-                    if spans and at + 1 - window <= spans[-1][1]:
-                        spans[-1][1] = at + 1
-                    else:
-                        spans.append([at + 1 - window, at + 1])
-                    break
-        return spans
+                q = p + size
+                left = right = 0
+                while left < min(more, begin, p) and words[begin - left - 1] == own[p - left - 1]:
+                    left += 1
+                while right < more and end + right < len(words) and q + right < len(own) and words[end + right] == own[q + right]:
+                    right += 1
+                if left + right >= more:
+                    spans.append([begin - left, end + right])
+        spans.sort()
+        out: list[list[int]] = []
+        for s in spans:
+            if out and s[0] <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], s[1])
+            else:
+                out.append(s)
+        return out
 
 
 def _letters(words: list[bytes]) -> str:

@@ -215,13 +215,38 @@ def test_automaton_finds_every_window():
     assert machine.covered(b"x a b c d", 5) == [[1, 5]] and machine.covered(b"x a b c d", 3) == []
 
 
-def test_window_hashes_depend_on_the_words_alone():
+@pytest.mark.parametrize("shared", [1, 2, 8])
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 7, 13])
+def test_automaton_equals_brute_force(monkeypatch, window, shared):
+    monkeypatch.setattr(repeats.Automaton, "SHARED", shared)
+    r = random.Random(window)
+    say = lambda n: [r.choice("abc") for _ in range(n)]
+    for _ in range(40):
+        passages = [(r.randrange(6), say(window + r.randrange(12))) for _ in range(r.randrange(1, 9))]
+        machine = repeats.Automaton([(k, " ".join(p).encode()) for k, p in passages], window)
+        text = [w for _ in range(5) for w in r.choice([say(4), passages[0][1], passages[-1][1][1:]])]
+        doc = r.randrange(7)
+        known = {tuple(p[i : i + window]) for k, p in passages if k < doc for i in range(len(p) - window + 1)}
+        want = {j for i in range(len(text) - window + 1) if tuple(text[i : i + window]) in known for j in range(i, i + window)}
+        assert {j for b, e in machine.covered(" ".join(text).encode(), doc) for j in range(b, e)} == want
+
+
+def test_window_hashes_depend_on_the_words_alone(monkeypatch):
     w = [f"w{i % 7}".encode() for i in range(40)]
-    key, h = repeats.window_hashes(w, 13)
+    key, h = repeats.window_hashes(repeats.word_hashes(b"\t ".join(w))[2], 13)
     for i in range(28):
-        k1, h1 = repeats.window_hashes(w[i : i + 13], 13)
+        k1, h1 = repeats.window_hashes(repeats.word_hashes(b" " + b" ".join(w[i : i + 13]))[2], 13)
         assert (k1[0], h1[0]) == (key[i], h[i])
-    assert len(repeats.window_hashes(w[:12], 13)[0]) == 0
+    assert len(repeats.window_hashes(repeats.word_hashes(b" ".join(w[:12]))[2], 13)[0]) == 0
+    assert [len(x) for x in repeats.word_hashes(b" \n")] == [len(x) for x in repeats.word_hashes(b"")] == [0, 0, 0]
+    r = random.Random(1)
+    text = "".join(r.choice("ab \n\x0b\x1c\u00e9") for _ in range(5000)).encode() + b"x" * 6000
+    begin, end, h = repeats.word_hashes(text)
+    assert [text[b:e] for b, e in zip(begin, end)] == text.split()
+    assert len(set(h.tolist())) == len(set(text.split()))
+    monkeypatch.setattr(repeats, "CHUNK", 37)
+    for x, y in zip(repeats.word_hashes(text), (begin, end, h)):
+        assert (x == y).all()
 
 
 def test_queries_hold_on_whole_tables(spark):
@@ -245,6 +270,6 @@ def test_queries_hold_on_whole_tables(spark):
 
 def test_automaton_confirms_words_of_equal_letters(monkeypatch):
     monkeypatch.setattr(repeats, "_letters", lambda words: "a" * len(words))
-    machine = repeats.Automaton([(3, b"a b c"), (4, b"d e f g"), (2, b"a b c")], 3)
+    machine = repeats.Automaton([(3, b"a b c"), (4, b"d e f g"), (2, b"a b c")], 3)  # every block has the same letters
     assert machine.covered(b"x d e f g a b c", 9) == [[1, 8]] and machine.covered(b"x d e f g a b c", 3) == [[5, 8]]
     assert machine.covered(b"c b a d e", 9) == []
