@@ -33,7 +33,7 @@ from geoquill.workspace import Workspace
 #: Words of the runs whose least hash is a window's key; at most half a window.
 RUN = 5
 #: Windows of one automaton, about, and words that stream through one at a time.
-SHARD, LOAD = 50_000, 1_000_000
+SHARD, LOAD = 50_000, 250_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
