@@ -31,6 +31,12 @@ DERIVED = {
   from (select k, own, case when own then ox else ox + (b % 7) * 40 - 120 end as sx, case when own then oy else oy + (b % 5) * 50 - 90 end as sy, ox + (b % 7) * 40 - 120 as ex, oy + (b % 5) * 50 - 90 as ey
     from (select k, b, b = k as own, (b * b * 31 + b * 7919) % 10007 as ox, (b * b * b * 17 + b * 104729) % 10007 as oy
       from (select k, case when k % 3 = 1 then k - 1 else k end as b from (select cast(c_custkey as bigint) as k from customer) c) d) e) f""",
+    "circles": """select h * 32 + k as line_id, h * 8 + k as src, h * 8 + (k + 1) % 6 as dst, hx + ox as x1, hy + oy as y1, hx + px as x2, hy + py as y2, 'roundabout' as kind, h % 3 as number,
+  case when h % 4 = 0 then 'U' when h % 4 = 1 and k = 2 then 'U' else 'T' end as medium
+  from (select cast(s_suppkey as bigint) as h, cast(s_suppkey * 131 % 997 as bigint) * 50 as hx, cast(s_suppkey * 577 % 991 as bigint) * 50 as hy from supplier) s,
+  (values (0, 20, 0, 10, 18), (1, 10, 18, -10, 18), (2, -10, 18, -20, 0), (3, -20, 0, -10, -18), (4, -10, -18, 10, -18), (5, 10, -18, 20, 0)) as c(k, ox, oy, px, py)
+  union all select h * 32 + 8 + k, h * 8 + k, (h + k % 2) * 8 + (k + 3) % 6, 0, 0, 0, 0, 'road', h % 3, case when (h + k) % 3 = 0 then 'U' else 'T' end
+  from (select cast(s_suppkey as bigint) as h from supplier) s, (values (0), (1), (2), (3), (4), (5)) as c(k)""",
     "diamonds": """select k as id, g, k % 2 as layer, (g * g * 37 + g * 7919) % 10007 + (k % 4) * 7 as cx, (g * g * g * 13 + g * 3571) % 10007 + (k % 3) * 5 as cy, 6 + s % 9 as r, case when k % 5 = 0 then 2 + s % 9 else 0 end as h
   from (select cast(p_partkey as bigint) as k, cast(floor(p_partkey / 4.0) as bigint) as g, cast(p_size as bigint) as s from part) p""",
     "rules": """select * from (values (1, 'Skog', '*', '1-URGENT', '*', 'Tett', 'N'), (2, 'Skog', 'O', '*', '*', 'Aapen', 'J'), (3, 'Skog', '*', '*', '2', 'Lav', 'J'),
