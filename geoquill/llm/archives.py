@@ -71,7 +71,8 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
         if not line:
             at = end + 1
             continue
-        values = line.split(" ")
+        # the other fields hold no spaces, so a space in a URL is the URL's
+        values = line.rsplit(" ", len(fields or FIELDS[1]) - 1)
         n = int(values[-1])
         block = data[end + 1 : end + 1 + n]
         if len(block) < n:
@@ -92,6 +93,20 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
         at += 1
 
 
+def inflated(data: bytes) -> bytes:
+    """The contents of all gzip members of a file, one after another (archives have one for each record); other data as it is. Raises where a member is cut short."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    out = []
+    while data:
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data))
+        if not member.eof:
+            raise ValueError("a compressed record is cut short")
+        data = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
 def http_parts(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
     """(header bytes with the empty line, header fields by lower-case name, payload) of an HTTP response."""
     end = block.find(b"\r\n\r\n") + 4
@@ -201,7 +216,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for content in b.column(1):
                 rows = []
-                for fields, block in parse_warc(zlib.decompress(content.as_buffer(), 47)):
+                for fields, block in parse_warc(inflated(content.as_buffer().to_pybytes())):
                     head, http, payload = http_parts(block)
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
                     revisit = fields["WARC-Type"] == "revisit"
@@ -216,13 +231,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """url, ip, date, kind, status, block of each record of the ARC files (plain or gzip) under path, of both versions; files without records give none."""
+    """url, ip, date, kind, status, block of each record of the ARC files (plain or gzip, in one member or in one for each record) under path, of both versions; files without records give none."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                data = content.as_buffer().to_pybytes()
-                rows = list(parse_arc(zlib.decompress(data, 47) if data[:2] == b"\x1f\x8b" else data))
+                rows = list(parse_arc(inflated(content.as_buffer().to_pybytes())))
                 texts = [pa.array([getattr(r, k) for r in rows], pa.string()) for k in ("url", "ip", "date", "kind", "status")]
                 yield pa.RecordBatch.from_arrays([*texts, pa.array([r.block for r in rows], pa.binary())], names=["url", "ip", "date", "kind", "status", "block"])
 

@@ -273,3 +273,30 @@ def test_automaton_confirms_words_of_equal_letters(monkeypatch):
     machine = repeats.Automaton([(3, b"a b c"), (4, b"d e f g"), (2, b"a b c")], 3)  # every block has the same letters
     assert machine.covered(b"x d e f g a b c", 9) == [[1, 8]] and machine.covered(b"x d e f g a b c", 3) == [[5, 8]]
     assert machine.covered(b"c b a d e", 9) == []
+
+
+# --- archives of others ----------------------------------------------------------------------
+
+
+def test_arc_files_with_a_member_for_each_record(spark, tmp_path):
+    import gzip
+
+    from geoquill.llm import archives
+
+    recs = [(f"http://a/{k}", "19990101000000", "text/html", b"HTTP/1.0 200 OK\r\n\r\n" + b"x" * k) for k in range(4)]
+    for version in (1, 2):
+        whole = archives.arc_file(recs, version)
+        ends = [whole.index(b"http://a/%d " % k) for k in range(4)] + [len(whole)]
+        spaced = whole[ends[3] :].replace(b"http://a/3 ", b"http://a/3 b c.html ", 1)
+        members = [whole[: ends[0]], *(whole[a:z] for a, z in zip(ends[:3], ends[1:4])), spaced]
+        path = tmp_path / f"v{version}"
+        path.mkdir()
+        (path / "many.arc.gz").write_bytes(b"".join(gzip.compress(m) for m in members))
+        (path / "one.arc.gz").write_bytes(gzip.compress(b"".join(members)))
+        (path / "plain.arc").write_bytes(b"".join(members))
+        got = archives.read_arc(spark, f"file://{path}").collect()
+        assert len(got) == 12 and {x.url for x in got} == {"http://a/0", "http://a/1", "http://a/2", "http://a/3 b c.html"}
+        assert all(x.block.endswith(b"x" * int(x.url.split("/")[-1][0])) for x in got)
+    with pytest.raises(ValueError):
+        archives.inflated(gzip.compress(b"abc" * 1000)[:-9])
+    assert archives.inflated(b"") == b"" and archives.inflated(b"plain") == b"plain"
