@@ -27,15 +27,22 @@ def metrics(assigned: DataFrame) -> DataFrame:
     return m.withColumn("owned_percent", F.round(100 * F.col("n_owned") / (F.col("n_owned") + F.col("n_halo")), 2))
 
 
+def sized_cells(points: DataFrame, limit: int, start: int, halo: int, least: int = 1) -> tuple[int, int]:
+    """(size, load): the first size, halving from start, at which no cell holds more than limit rows, halo included, or the least size; load is the most that a cell holds then."""
+    size = max(start, least)
+    while True:
+        most = assign(points, size, halo).groupBy("col", "row").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= limit or size <= least:
+            return size, most
+        size = max(size // 2, least)
+
+
 def cell_size(points: DataFrame, limit: int, start: int, halo: int, least: int = 1) -> int:
-    """The first size, halving from start, at which no cell holds more than limit rows, halo included."""
-    size = start
-    while size > least:
-        most = assign(points, size, halo).groupBy("col", "row").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if most is None or most <= limit:
-            break
-        size //= 2
-    return max(size, least)
+    """The first size, halving from start, at which no cell holds more than limit rows; an error where even the least size has more."""
+    size, most = sized_cells(points, limit, start, halo, least)
+    if most > limit:
+        raise ValueError(f"cells of {size} hold up to {most} rows, not {limit}")
+    return size
 
 
 def run_partitioned(points: DataFrame, size: int, halo: int, function: Callable, schema: str) -> DataFrame:

@@ -21,11 +21,11 @@ where c.col between floor((p.x - 100) / s.size) - 1 and floor((p.x + 100) / s.si
 and ((c.col = floor(p.x / s.size) and r.row = floor(p.y / s.size)) or greatest(c.col * s.size - p.x, p.x - (c.col + 1) * s.size, 0) ** 2 + greatest(r.row * s.size - p.y, p.y - (r.row + 1) * s.size, 0) ** 2 <= 10000) group by 1, 2, 3) s group by 1"""
 
 
-@query(f"select coalesce((select max(size) from ({_LOAD}) q where most <= 60), 125) as size")
+@query(f"select size, most as load from ({_LOAD}) r where size = coalesce((select max(size) from ({_LOAD}) q where most <= 60), 125)")
 def cell_size_search(t):
-    """The largest of the sizes tried at which no cell holds more than 60 rows, halo included"""
-    size = partitioning.cell_size(t.pts, 60, 2000, 100, 125)
-    return t.spark.range(1).select(F.lit(size).cast("bigint").alias("size"))
+    """The largest of the sizes tried at which no cell holds more than 60 rows, halo included, or the least one, and how many rows its fullest cell holds"""
+    size, load = partitioning.sized_cells(t.pts, 60, 2000, 100, 125)
+    return t.spark.range(1).select(F.lit(size).cast("bigint").alias("size"), F.lit(load).cast("bigint").alias("load"))
 
 
 @query("select h.id from hubs h where exists (select 1 from pts p where p.code = 970 and (h.x - p.x) * (h.x - p.x) + (h.y - p.y) * (h.y - p.y) <= 90000)")

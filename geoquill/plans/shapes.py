@@ -48,7 +48,9 @@ _SEG = "seg as (select id, x as x1, y as y1, x + (id % 7) * 100 - 300 as x2, y +
 
 @query(f"""with {_SEG}, det as (select a.id, (a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1) as d, (b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1) as t, (b.x1 - a.x1) * (a.y2 - a.y1) - (b.y1 - a.y1) * (a.x2 - a.x1) as u
 from seg a join seg b on a.id <> b.id and least(a.x1, a.x2) <= greatest(b.x1, b.x2) and least(b.x1, b.x2) <= greatest(a.x1, a.x2) and least(a.y1, a.y2) <= greatest(b.y1, b.y2) and least(b.y1, b.y2) <= greatest(a.y1, a.y2)),
-cut as (select distinct id, cast(t * sign(d) as double) / abs(d) as p from det where d <> 0 and t * sign(d) > 0 and t * sign(d) < abs(d) and u * sign(d) >= 0 and u * sign(d) <= abs(d)),
+flat as (select a.id, (a.x2 - a.x1) * (a.x2 - a.x1) + (a.y2 - a.y1) * (a.y2 - a.y1) as d, unnest([(b.x1 - a.x1) * (a.x2 - a.x1) + (b.y1 - a.y1) * (a.y2 - a.y1), (b.x2 - a.x1) * (a.x2 - a.x1) + (b.y2 - a.y1) * (a.y2 - a.y1)]) as t
+from seg a join seg b on a.id <> b.id and (a.x2 - a.x1) * (b.y2 - b.y1) = (a.y2 - a.y1) * (b.x2 - b.x1) and (b.x1 - a.x1) * (a.y2 - a.y1) = (b.y1 - a.y1) * (a.x2 - a.x1)),
+cut as (select distinct id, cast(t * sign(d) as double) / abs(d) as p from det where d <> 0 and t * sign(d) > 0 and t * sign(d) < abs(d) and u * sign(d) >= 0 and u * sign(d) <= abs(d) union select id, cast(t as double) / d from flat where t > 0 and t < d),
 every as (select id, p from cut union all select id, 0 from seg), o as (select id, row_number() over (partition by id order by p) - 1 as part, p as a, lead(p, 1, 1) over (partition by id order by p) as b from every)
 select id, part, cast(round(1000000 * a) as bigint) as a_ppm, cast(round(1000000 * b) as bigint) as b_ppm from o""")
 def planarised(t):
@@ -59,6 +61,24 @@ def planarised(t):
     return shapes.planarise(seg).select("id", "part", ppm("a"), ppm("b"))
 
 
+_BOW = "bow as (select id, x as ax, y as ay, x + (id % 9) * 10 - 30 as bx, y + (id % 7) * 10 - 20 as by_, x + (id % 11) * 10 - 60 as cx, y + (id % 5) * 10 - 10 as cy, x + (id % 8) * 10 - 20 as dx, y + (id % 13) * 10 - 70 as dy from pts)"
+_TURN = "sign(({r}x - {q}x) * ({v}y - {q}y) - ({r}y - {q}y) * ({v}x - {q}x))"
+_T = lambda q, r, v: _TURN.format(q=q, r=r, v=v).replace("by ", "by_ ").replace("by)", "by_)")
+_BACK = lambda p, q, r: f"(({p}x - {q}x) * ({r}y - {q}y) = ({p}y - {q}y) * ({r}x - {q}x) and ({p}x - {q}x) * ({r}x - {q}x) + ({p}y - {q}y) * ({r}y - {q}y) > 0)".replace("by ", "by_ ").replace("by)", "by_)")
+
+
+@query(f"""with {_BOW}, k as (select id, cast({_BACK('a', 'b', 'c')} as int) + cast({_BACK('b', 'c', 'd')} as int) + cast(({_T('a', 'b', 'c')} * {_T('a', 'b', 'd')} <= 0 and {_T('c', 'd', 'a')} * {_T('c', 'd', 'b')} <= 0
+  and least(ax, bx) <= greatest(cx, dx) and least(cx, dx) <= greatest(ax, bx) and least(ay, by_) <= greatest(cy, dy) and least(cy, dy) <= greatest(ay, by_)) and not (ax = dx and ay = dy) as int) as n
+  from bow where not (ax = bx and ay = by_) and not (bx = cx and by_ = cy) and not (cx = dx and cy = dy) and not (ax = dx and ay = dy)) select id, n from k where n > 0""")
+def self_crossing_lines(t):
+    """Lines of four vertices that cross, touch or run back on themselves"""
+    x, y, k = F.col("x"), F.col("y"), F.col("id")
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    v = F.array(at(F.lit(0), F.lit(0)), at((k % 9) * 10 - 30, (k % 7) * 10 - 20), at((k % 11) * 10 - 60, (k % 5) * 10 - 10), at((k % 8) * 10 - 20, (k % 13) * 10 - 70))
+    lines = t.pts.select("id", v.alias("line")).where("line[0] <> line[1] and line[1] <> line[2] and line[2] <> line[3] and line[0] <> line[3]")
+    return shapes.self_crossings(lines, "line")
+
+
 _FAULTY = "case line_id % 7 when 0 then null when 1 then 'empty' when 2 then 'short' when 3 then 'repeated vertices' when 4 then 'short' else 'fine' end"
 
 

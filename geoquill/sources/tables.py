@@ -31,9 +31,9 @@ def append(*frames: DataFrame) -> DataFrame:
 
 
 def update(df: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
-    """df with column replaced where changes (key, column) has a value for the key."""
-    new = changes.select(F.col(key).alias("_k"), F.col(column).alias("_v"))
-    return df.join(new, df[key] == F.col("_k"), "left").withColumn(column, F.coalesce("_v", column)).select(*df.columns)
+    """df with column replaced where changes (key, column) has a row for the key, also by null; of several rows for a key the greatest value counts, null only where there is no other."""
+    new = changes.groupBy(F.col(key).alias("_k")).agg(F.max(F.col(column)).alias("_v"), F.lit(True).alias("_new"))
+    return df.join(new, df[key] == F.col("_k"), "left").withColumn(column, F.when(F.col("_new"), F.col("_v")).otherwise(F.col(column))).select(*df.columns)
 
 
 def delete(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -183,16 +183,24 @@ def test_tables(spark, tmp_path):
 
 
 def test_shared_dir_is_the_session_setting(spark):
-    assert shared_dir(spark) == shared_dir(spark)
+    own = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    got = shared_dir(spark)
+    assert got == own.rstrip("/") if own else got == spark.conf.get("geoquill.local.dir")
 
 
-@settings(max_examples=20, deadline=None)
-@given(st.floats(1, 500), st.floats(1, 100))
-def test_even_positions_cover_the_line(length, interval):
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(length=st.floats(1, 500), interval=st.floats(1, 100))
+def test_even_positions_cover_the_line(spark, length, interval):
     import math
 
-    n = 1 if length <= interval else math.ceil(length / interval)
-    assert n * interval >= length * (1 - 1e-9)
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    from geoquill.functions.geometry import even_positions
+
+    got = SparkSession.getActiveSession().range(1).select(even_positions(F.lit(length), interval).alias("p")).first().p
+    assert len(got) == max(1, math.ceil(length / interval)) and got[0].a == 0 and abs(got[-1].b - length) < 1e-9 * length
+    assert all(x.b == y.a for x, y in zip(got, got[1:])) and max(x.b - x.a for x in got) <= interval * (1 + 1e-9)
 
 
 def test_whole_priority_order_places_every_line(spark):
@@ -281,3 +289,32 @@ def test_deep_river_has_its_order(spark):
     arms = [(k, k, k + 1) for k in range(6)] + [(10 + k, 100 + k, 101 + k if k < 5 else 6) for k in range(6)] + [(30, 6, 7)]
     got = {x.line_id: x.strahler for x in network.strahler(spark.createDataFrame(arms, "line_id long, src long, dst long"), Workspace(spark, "t")).collect()}
     assert got == {k: 2 if k == 30 else 1 for k, *_ in arms}
+
+
+def test_updates_set_nulls_and_keep_one_row_a_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "id long, v string")
+    got = tables.update(df, spark.createDataFrame([(1, None), (2, "x"), (2, "y"), (2, None), (9, "z")], "id long, v string"), "id", "v")
+    assert sorted(got.collect(), key=str) == sorted([(1, None), (2, "y"), (3, "c"), (None, "d")], key=str)
+
+
+def test_cells_that_cannot_hold_fewer_are_reported(spark):
+    df = spark.createDataFrame([(k, 5, 5) for k in range(10)], "id long, x long, y long")
+    assert partitioning.sized_cells(df, 3, 64, 0) == (1, 10)
+    with pytest.raises(ValueError):
+        partitioning.cell_size(df, 3, 64, 0)
+
+
+def test_segments_are_cut_where_others_lie_along_them(spark):
+    from geoquill.operators import shapes
+
+    df = spark.createDataFrame([(1, 0, 0, 100, 0), (2, 50, 0, 150, 0), (3, 300, 0, 300, 9)], "id long, x1 long, y1 long, x2 long, y2 long")
+    assert sorted(tuple(x) for x in shapes.planarise(df).collect()) == [(1, 0, 0.0, 0.5), (1, 1, 0.5, 1.0), (2, 0, 0.0, 0.5), (2, 1, 0.5, 1.0), (3, 0, 0.0, 1.0)]
+
+
+def test_lines_that_cross_themselves(spark):
+    from geoquill.operators import shapes
+
+    p = lambda *v: [{"x": x, "y": y} for x, y in v]
+    rows = [(1, p((0, 0), (10, 10), (10, 0), (0, 10))), (2, p((0, 0), (10, 0), (10, 10), (0, 0))), (3, p((0, 0), (10, 0), (4, 0))), (4, p((0, 0), (9, 0))), (5, p((0, 0), (10, 0), (10, 5), (5, 0), (5, -9))), (6, None)]
+    got = {x.id: x.n for x in shapes.self_crossings(spark.createDataFrame(rows, "id long, line array<struct<x:bigint,y:bigint>>"), "line").collect()}
+    assert set(got) == {1, 3, 5} and got[1] == got[3] == 1
