@@ -6,7 +6,8 @@ keys, xor of checks); a key goes to three of them. Two sketches of one size
 subtract cell by cell; peeling cells that hold one key recovers the keys that only
 one text has. Where peeling gets stuck, both sketches are made again twice as large.
 
-The fingerprint that is stored has FIRST cells; many sketches are peeled at once.
+The fingerprint that is stored has FIRST cells and can be loaded, subtracted and
+peeled without its text; many sketches are peeled at once.
 """
 
 from __future__ import annotations
@@ -72,7 +73,10 @@ class Sketches:
         at = (places(keys, self.cells) + which * self.cells).ravel()
         np.add.at(self.count, at, np.tile(np.broadcast_to(sign, keys.shape), 3))
         np.bitwise_xor.at(self.keys, at, np.tile(keys, 3))
-        np.bitwise_xor.at(self.checks, at, np.tile(check(keys), 3))
+        np.bitwise_xor.at(self.checks, at, np.tile(self.check(keys), 3))
+
+    def check(self, keys: np.ndarray) -> np.ndarray:
+        return check(keys)
 
     def minus(self, other: Sketches) -> Sketches:
         out = Sketches(0, self.cells)
@@ -84,7 +88,7 @@ class Sketches:
         got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         look = np.flatnonzero(np.abs(self.count) == 1)
         while len(look):
-            pure = look[(np.abs(self.count[look]) == 1) & (check(self.keys[look]) == self.checks[look])]
+            pure = look[(np.abs(self.count[look]) == 1) & (self.check(self.keys[look]) == self.checks[look])]
             if not len(pure):
                 break
             which, keys, sign = pure // self.cells, self.keys[pure], self.count[pure]
@@ -100,12 +104,58 @@ class Sketches:
         return (*parts, done)
 
     def stored(self, i: int, n_keys: int) -> bytes:
-        """The stored form: cells, keys, and the arrays of one sketch."""
+        """The stored form: cells, keys, and the arrays of one sketch. Counts are kept modulo 2**16 and checks modulo 2**32, which Loaded knows."""
         s = slice(i * self.cells, (i + 1) * self.cells)
-        raw = np.array([self.cells, n_keys], "<u4").tobytes() + self.count[s].astype("<i2").tobytes() + self.keys[s].astype("<u8").tobytes() + self.checks[s].astype("<u4").tobytes()
+        raw = np.array([self.cells, n_keys], "<u4").tobytes() + (self.count[s] & 0xFFFF).astype("<u2").tobytes() + self.keys[s].astype("<u8").tobytes() + self.checks[s].astype("<u4").tobytes()
         return raw
 
 
+class Loaded(Sketches):
+    """One sketch from its stored form: as good for subtracting and peeling, since what differs is counted modulo 2**16 too."""
+
+    def __init__(self, raw: bytes):
+        self.cells, self.n_keys = (int(x) for x in np.frombuffer(raw, "<u4", 2))
+        c = self.cells
+        self.count = np.frombuffer(raw, "<u2", c, 8).astype(np.int64)
+        self.keys = np.frombuffer(raw, "<u8", c, 8 + 2 * c).astype(np.uint64)
+        self.checks = np.frombuffer(raw, "<u4", c, 8 + 10 * c).astype(np.uint64)
+
+    def check(self, keys: np.ndarray) -> np.ndarray:
+        return check(keys) & np.uint64(0xFFFFFFFF)
+
+    def difference(self, other: Loaded) -> tuple[np.ndarray, np.ndarray] | None:
+        """Keys that only this and only the other sketch holds; None where peeling gets stuck, or sizes differ: then both texts need larger sketches."""
+        if self.cells != other.cells:
+            return None
+        rest = Loaded.__new__(Loaded)
+        rest.cells = self.cells
+        rest.count = (self.count - other.count + 0x8000) % 0x10000 - 0x8000
+        rest.keys, rest.checks = self.keys ^ other.keys, self.checks ^ other.checks
+        _, keys, sign, done = rest.peel()
+        return (keys[sign > 0], keys[sign < 0]) if done[0] else None
+
+
+def stored_likeness(df: DataFrame, a: str = "fingerprint", b: str = "edited_fingerprint", name: str = "gq_likeness") -> DataFrame:
+    """df plus the likeness of two stored fingerprints (base64), from these alone; null where they differ by more than their cells tell, and where one is null."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("double")
+    def likeness_of(x, y):
+        def one(p, q):
+            if p is None or q is None:
+                return None
+            p, q = Loaded(p), Loaded(q)
+            found = p.difference(q)
+            return None if found is None else likeness(p.n_keys, q.n_keys, len(found[0]), len(found[1]))
+
+        import pandas as pd
+
+        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    got = df.withColumn(name, likeness_of(F.unbase64(a), F.unbase64(b)))
+    return got.withColumn(name, F.when(~F.isnan(name), F.col(name)))
+
+
 def sketches(keys: list[np.ndarray], cells: int) -> Sketches:
     out = Sketches(len(keys), cells)
     if keys:
@@ -113,12 +163,14 @@ def sketches(keys: list[np.ndarray], cells: int) -> Sketches:
     return out
 
 
-def differences(a: list[np.ndarray], b: list[np.ndarray], first: int = FIRST) -> list[tuple[list[int], list[int]]]:
-    """For each pair the keys that only the first and only the second has, by subtracting and peeling."""
+def differences(a: list[np.ndarray], b: list[np.ndarray], first: int = FIRST, made: tuple[Sketches, Sketches] | None = None) -> list[tuple[list[int], list[int]]]:
+    """For each pair the keys that only the first and only the second has, by subtracting and peeling; made: the first sketches of both sides, if they are there."""
     out: list = [None] * len(a)
     todo, cells = list(range(len(a))), first
     while todo:
-        which, keys, sign, done = sketches([a[i] for i in todo], cells).minus(sketches([b[i] for i in todo], cells)).peel()
+        x, y = made or (sketches([a[i] for i in todo], cells), sketches([b[i] for i in todo], cells))
+        made = None
+        which, keys, sign, done = x.minus(y).peel()
         order = np.argsort(which, kind="stable")
         at = np.searchsorted(which[order], np.arange(len(todo) + 1))
         for j, i in enumerate(todo):
@@ -146,7 +198,8 @@ def compare(rows: list[tuple], first: int = FIRST) -> pa.RecordBatch:
     new = [edited(t, f) for _, t, f in rows]
     sets = [[paragraph_keys(x.encode()) for x in col] for col in ([t for _, t, _ in rows], new, [f for _, _, f in rows])]
     own, changed = sketches(sets[0], first), sketches(sets[1], first)
-    near = [[likeness(len(a), len(b), len(x), len(y)) for a, b, (x, y) in zip(sets[0], other, differences(sets[0], other, first), strict=True)] for other in (sets[1], sets[2])]
+    made = (changed, sketches(sets[2], first))
+    near = [[likeness(len(a), len(b), len(x), len(y)) for a, b, (x, y) in zip(sets[0], other, differences(sets[0], other, first, (own, m)), strict=True)] for other, m in zip(sets[1:], made, strict=True)]
     cols = [
         pa.array([r[0] for r in rows], pa.int64()),
         pa.array([len(r[1]) for r in rows], pa.int64()),

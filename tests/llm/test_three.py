@@ -300,3 +300,22 @@ def test_arc_files_with_a_member_for_each_record(spark, tmp_path):
     with pytest.raises(ValueError):
         archives.inflated(gzip.compress(b"abc" * 1000)[:-9])
     assert archives.inflated(b"") == b"" and archives.inflated(b"plain") == b"plain"
+
+
+# --- stored fingerprints ---------------------------------------------------------------------
+
+
+def test_stored_fingerprints_subtract_and_peel(spark):
+    from geoquill.llm import fingerprints as fp
+
+    many = fp.paragraph_keys(b"x\n" * 300_000)  # counts of a cell beyond 2**16
+    other = np.unique(np.concatenate([many[5:], np.array([1, 2, 3], np.uint64)]))
+    a, b = (fp.Loaded(fp.sketches([k], fp.FIRST).stored(0, len(k))) for k in (many, other))
+    only_a, only_b = a.difference(b)
+    assert set(only_a.tolist()) == set(many[:5].tolist()) and set(only_b.tolist()) == {1, 2, 3} and a.n_keys == 300_000
+    assert a.difference(fp.Loaded(fp.sketches([many[:9]], fp.FIRST).stored(0, 9))) is None
+    assert a.difference(fp.Loaded(fp.sketches([many], 48).stored(0, len(many)))) is None
+    r = random.Random(1)
+    rows = [(k, "\n".join(r.choice("abcdefghijklmnop") * 3 for _ in range(r.randrange(30)))) for k in range(60)] + [(100, "a\n" * 400), (101, None)]
+    got = fp.stored_likeness(fp.edit_fingerprints(docs(spark, rows))).collect()
+    assert all(x.gq_likeness in (None, x.near_edited) for x in got) and sum(x.gq_likeness is not None for x in got) > 40
