@@ -474,13 +474,13 @@ def test_packing_is_optimal_with_many_lengths(spark):
 
 def brute_lines(rows, percent):
     def lev(a, b):
-        p = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            q = [i + 1]
-            for j, y in enumerate(b):
-                q.append(min(q[-1] + 1, p[j + 1] + 1, p[j] + (x != y)))
-            p = q
-        return p[-1]
+        """Edit distance, a row of the table at a time."""
+        x, step = np.frombuffer(b.encode("utf-32-le"), "<u4"), np.arange(len(b) + 1)
+        p = step
+        for i, c in enumerate(a.encode("utf-32-le")[k : k + 4] for k in range(0, 4 * len(a), 4)):
+            q = np.concatenate([[i + 1], np.minimum(p[1:] + 1, p[:-1] + (x != int.from_bytes(c, "little")))])
+            p = np.minimum.accumulate(q - step) + step
+        return int(p[-1])
 
     texts = {}
     for d, t, *_ in rows:
@@ -488,11 +488,11 @@ def brute_lines(rows, percent):
             if n := lines.normalised(line.encode()):
                 texts.setdefault(n, []).append(((d is not None, d or 0), t, i))
     nodes = sorted(texts)
-    sims = lines.simhashes(nodes)
 
     def link(i, j):
         a, b = nodes[i].decode(), nodes[j].decode()
-        return (sims[i] == sims[j]).sum() >= 2 and np.bitwise_count(sims[i] ^ sims[j]).sum() <= lines.DIFFER and 100 * (max(len(a), len(b)) - lev(a, b)) >= percent * max(len(a), len(b))
+        most = max(len(a), len(b))
+        return 100 * min(len(a), len(b)) >= percent * most and 100 * (most - lev(a, b)) >= percent * most
 
     g = groups_of(len(nodes), [(i, j) for i in range(len(nodes)) for j in range(i) if link(i, j)])
     kept = {}
