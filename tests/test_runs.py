@@ -108,11 +108,12 @@ def test_shapes_with_faults(spark):
 
 
 def test_planarise(spark):
+    # 2 lies along 4: its ends cut it too
     seg = [(1, 0, 0, 100, 0), (2, 50, -10, 50, 10), (3, 25, 0, 25, 30), (4, 50, -20, 50, 20), (5, 0, 50, 100, 50), (6, 7, 7, 7, 7), (7, 0, 0, 0, 9)]
     got = {}
     for x in shapes.planarise(spark.createDataFrame(seg, "id long, x1 long, y1 long, x2 long, y2 long")).collect():
         got.setdefault(x.id, []).append((x.a, x.b))
-    assert {k: sorted(v) for k, v in got.items()} == {1: [(0, 0.25), (0.25, 0.5), (0.5, 1)], 2: [(0, 0.5), (0.5, 1)], 3: [(0, 1)], 4: [(0, 0.5), (0.5, 1)], 5: [(0, 1)], 6: [(0, 1)], 7: [(0, 1)]}
+    assert {k: sorted(v) for k, v in got.items()} == {1: [(0, 0.25), (0.25, 0.5), (0.5, 1)], 2: [(0, 0.5), (0.5, 1)], 3: [(0, 1)], 4: [(0, 0.25), (0.25, 0.5), (0.5, 0.75), (0.75, 1)], 5: [(0, 1)], 6: [(0, 1)], 7: [(0, 1)]}
 
 
 def test_cycles_and_triangles(spark):
