@@ -39,7 +39,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base and backoff scores of documents. Null and empty texts are one end token; without training documents counts are 0; repeated rows count and are scored each."""
+    """Base and trigram backoff scores of documents. Null and empty texts are one end token; without training documents counts are 0; repeated rows count and are scored each."""
     return katz.held_out_scores(table(spark, sf_dir, "documents"), order=3)
 
 
