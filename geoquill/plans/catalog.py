@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from geoquill.functions import codes, geometry
 from geoquill.operators import clusters, elevation, gaps, network, overlay, partitioning, spatial
 from geoquill.operators.graph import connected_components
-from geoquill.plans import areas, edits, gapfill, moves, networks, places, polygons, rivers, runs, shapes  # noqa: F401  their queries are registered too
+from geoquill.plans import areas, edits, gapfill, moves, networks, places, polygons, rivers, runs, shapes, thinning  # noqa: F401  their queries are registered too
 from geoquill.plans.registry import query, registered, sql_of, work
 from geoquill.sources import tables
 from geoquill.streaming.replay import windowed_counts
