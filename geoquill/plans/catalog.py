@@ -759,7 +759,7 @@ def short_dead_ends(t):
 
 @query(None)
 def pruned_network(t):
-    """Dead ends by length; rounds to the fixed point"""
+    """Dead ends by length; rounds to the fixed point"""
     return network.prune_dead_ends(t.lines.select("line_id", "src", "dst", "length_cm"), work(t), 12000)
 
 
