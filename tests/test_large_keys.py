@@ -25,3 +25,43 @@ def test_cubes_of_large_keys(spark, tmp_path):
 
 def test_no_cube_is_left():
     assert not [n for n, q in DERIVED.items() if " * k * k" in without_overflow(q).replace("(k * k * ", "(")]
+
+
+def components(edges):
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {x: root(x) for x in list(up)}
+
+
+def test_components_of_many_tasks(spark, monkeypatch):
+    """Edges past one task's share: chains over all tasks, a hub that every task knows, and random links."""
+    from geoquill.operators import graph
+    from geoquill.workspace import Workspace
+
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(400) if i % 57]
+    hub = [(1000, 1001 + i) for i in range(200)]
+    far = [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(160)]
+    edges = [(a, b) for a, b in chain + hub + far if a != b]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "src long, dst long")
+    monkeypatch.setattr(graph, "ONE_TASK", 20)
+    got = {x.id: x.component for x in graph.connected_components(df, Workspace(spark, "t"), one_task=0).collect()}
+    assert got == components(edges)
+    greater_first = df.selectExpr("greatest(src, dst) a", "least(src, dst) b").distinct()
+    assert {x.id: x.component for x in graph._stars(greater_first, Workspace(spark, "t"), None).collect()} == components(edges)
+
+    def no_steps(*a):
+        raise AssertionError("near ids need no star steps")
+
+    monkeypatch.setattr(graph, "_stars", no_steps)
+    one = {x.id: x.component for x in graph.connected_components(spark.createDataFrame(chain, "src long, dst long"), Workspace(spark, "t"), one_task=20).collect()}
+    assert one == components(chain)
