@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoquill.operators.graph import connected_components
-from geoquill.operators.spatial import box_pairs
+from geoquill.operators.spatial import box_pairs, outer_boxes
 from geoquill.workspace import Workspace
 
 
@@ -22,8 +22,14 @@ def largest_overlap(a: DataFrame, b: DataFrame, size: int = 200) -> DataFrame:
 
 def dissolve_boxes(boxes: DataFrame, ws: Workspace, by: str | None = None, size: int = 200) -> DataFrame:
     """(id, part): connected boxes, of equal `by` if given; part is the smallest id."""
-    pairs = box_pairs(boxes, boxes, size).where("a_id < b_id").select("a_id", "b_id")
-    if by:
+    if not by:
+        # boxes of one corner meet there, and what meets one of them meets one of the outer ones
+        outer = outer_boxes(boxes)
+        pairs = box_pairs(outer, outer, size).where("a_id < b_id").select("a_id", "b_id")
+        first = boxes.where("xmin <= xmax and ymin <= ymax").groupBy("xmin", "ymin").agg(F.min("id").alias("b_id"))
+        pairs = pairs.unionByName(boxes.where("xmin <= xmax and ymin <= ymax").join(first, ["xmin", "ymin"]).where("id <> b_id").select(F.col("id").alias("a_id"), "b_id"))
+    else:
+        pairs = box_pairs(boxes, boxes, size).where("a_id < b_id").select("a_id", "b_id")
         k = boxes.select("id", F.col(by).alias("k"))
         pairs = pairs.join(k.toDF("a_id", "ka"), "a_id").join(k.toDF("b_id", "kb"), "b_id").where("ka <=> kb").select("a_id", "b_id")
     of = connected_components(pairs, ws, "a_id", "b_id")

@@ -65,3 +65,73 @@ def test_components_of_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(graph, "_stars", no_steps)
     one = {x.id: x.component for x in graph.connected_components(spark.createDataFrame(chain, "src long, dst long"), Workspace(spark, "t"), one_task=20).collect()}
     assert one == components(chain)
+
+
+BOXES = "id long, xmin long, ymin long, xmax long, ymax long"
+
+
+def some_boxes(seed):
+    rng = random.Random(seed)
+    at = [(rng.randrange(-30, 90) * 10, rng.randrange(-30, 90) * 10) for _ in range(12)]
+    rows = [(i, *rng.choice(at), rng.randrange(1, 30) * 10, rng.randrange(1, 30) * 10) for i in range(70)]
+    return [(i, x, y, x + w, y + h) for i, x, y, w, h in rows]
+
+
+def test_boxes_of_one_corner(spark):
+    """Copies and boxes of one corner: centres, touching sides and parts, against all pairs."""
+    from geoquill.operators import overlay, spatial
+    from geoquill.workspace import Workspace
+
+    rows = some_boxes(5)
+    df = spark.createDataFrame([*rows, (900, None, 3, 5, 6)], BOXES)
+    both = [(a, b) for a in rows for b in rows if a[0] != b[0]]
+    inside = {a[0] for a, b in both if 2 * b[1] <= a[1] + a[3] <= 2 * b[3] and 2 * b[2] <= a[2] + a[4] <= 2 * b[4]}
+    assert sorted(r.id for r in spatial.centres_in_others(df).collect()) == sorted(inside)
+    meets = [(a, b) for a, b in both if a[0] < b[0] and a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]]
+    touch = [(a[0], b[0]) for a, b in meets if a[3] == b[1] or b[3] == a[1] or a[4] == b[2] or b[4] == a[2]]
+    assert sorted((r.a_id, r.b_id) for r in spatial.touching_boxes(df).collect()) == touch and touch
+    of = components([(a[0], b[0]) for a, b in meets])
+    assert {r.id: r.part for r in overlay.dissolve_boxes(df, Workspace(spark, "t")).collect()} == {i: of.get(i, i) for i in [900, *(r[0] for r in rows)]}
+    assert spatial.outer_boxes(df).count() < len(rows) / 1.5
+
+
+def test_copies_of_places(spark):
+    """Copies of a place are compared once, and each copy gets the result."""
+    from geoquill.operators import spatial
+
+    rng = random.Random(8)
+    at = [(rng.randrange(500), rng.randrange(500)) for _ in range(9)]
+    a, b = ([(i, *rng.choice(at)) for i in range(80)] for _ in "ab")
+    near = {}
+    for i, x, y in a:
+        d = min(((x - u) ** 2 + (y - v) ** 2, j) for j, u, v in b)
+        if d[0] <= 150**2:
+            near[i] = (d[1], d[0])
+    df = [spark.createDataFrame([*p, (999, None, 5)], "id long, x long, y long") for p in (a, b)]
+    assert {r.a_id: (r.b_id, r.d2) for r in spatial.nearest_place(*df, 150).collect()} == near
+    assert spatial.places(df[0]).count() <= 9
+
+
+def slow_merge(points, limit):
+    p = [(float(x), float(y), 1) for _, x, y in sorted(points)]
+    while True:
+        d = [((p[j][0] - p[i][0]) ** 2 + (p[j][1] - p[i][1]) ** 2, i, j) for i in range(len(p)) for j in range(i + 1, len(p))]
+        d = [x for x in d if x[0] < limit * limit + 1e-9]
+        if not d:
+            return sorted(p)
+        _, i, j = min(d)
+        n = p[i][2] + p[j][2]
+        p[i] = ((p[i][0] * p[i][2] + p[j][0] * p[j][2]) / n, (p[i][1] * p[i][2] + p[j][1] * p[j][2]) / n, n)
+        del p[j]
+
+
+def test_merging_copies(spark):
+    """Nearest pairs first, as all pairs say; then 30,000 points on 300 places, whose search of all pairs would not end."""
+    from geoquill.operators import clusters
+
+    rng = random.Random(2)
+    points = [(i, rng.randrange(-40, 40) * 10, rng.randrange(-40, 40) * 10) for i in range(90)] + [(100 + i, 50, 50) for i in range(5)]
+    df = spark.createDataFrame([("A", *p) for p in points], "objtype string, id long, x long, y long")
+    assert sorted((r.x, r.y, r.members) for r in clusters.merge_nearest(df, {"A": 100}).collect()) == slow_merge(points, 100)
+    many = spark.range(30_000).select(F.lit("B").alias("objtype"), "id", (F.col("id") % 300 * 50).alias("x"), F.lit(0).alias("y"))
+    assert {(r.members) for r in clusters.merge_nearest(many, {"B": 20}).collect()} == {100}
