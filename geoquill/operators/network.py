@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import count
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +12,10 @@ from geoquill.operators.graph import connected_components, rounds
 from geoquill.workspace import Workspace
 
 
+#: Lines that one task of strahler takes.
+STRAHLER_LINES = 200_000
+
+
 def ends(lines: DataFrame) -> DataFrame:
     """(node, line_id), one row for each end."""
     return lines.select(F.explode(F.array("src", "dst")).alias("node"), "line_id")
@@ -110,25 +115,57 @@ def bfs(lines: DataFrame, starts: DataFrame, ws: Workspace, limit: int | None =
 def strahler(lines: DataFrame, ws: Workspace, limit: int | None = None) -> DataFrame:
     """(line_id, strahler) of directed lines src -> dst: 1 at sources; one more than the greatest inflow where two have it.
 
-    Each round settles the nodes whose inflows are all settled; lines that never
-    are (in or below cycles) have 1.
+    Lines that never are settled (in or below cycles) have 1. Nodes are dealt to ranges of their ids. A round gives each range's task the lines that
+    end there and what is known of their sources; it goes on by itself as far as it can, so rounds are as many as the longest path changes ranges.
     """
     e = ws.put(lines.select("line_id", "src", "dst"), "lines")
-    todo = ws.put(e.select(F.col("src").alias("node")).distinct().join(e.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("need")), "node", "left").select("node", F.coalesce("need", F.lit(0)).alias("need")), "nodes")
-    out = None
-    ready = todo.where("need = 0").select("node", F.lit(1).alias("order"))
-    settled = None
+    usable = e.where("src is not null and dst is not null")
+    count_of = usable.count()
+    parts = max(1, -(-count_of // STRAHLER_LINES))
+    cuts = sorted({c for c in usable.approxQuantile("dst", [i / parts for i in range(1, parts)], 0.001)}) if parts > 1 else []
+    part = F.lit(0)
+    for i, c in enumerate(cuts, 1):
+        part = F.when(F.col("dst") > c, i).otherwise(part)
+    known = ws.put(usable.select(F.col("src").alias("node")).distinct().join(usable.select(F.col("dst").alias("node")).distinct(), "node", "left_anti").select("node", F.lit(1).alias("order")), "orders")
+    left = ws.put(usable.select("src", "dst", part.cast("int").alias("part"), F.lit(None).cast("int").alias("order")), "inflows")
+    schema = "src long, dst long, part int, order int, settled int"
+    new = known
     for _ in rounds(limit):
-        new = ws.put(e.join(ready, e.src == F.col("node")).select("line_id", "dst", F.col("order").alias("strahler"), "src"), "orders")
+        told = left.join(new.select(F.col("node").alias("src"), F.col("order").alias("o")), "src", "left").select("src", "dst", "part", F.coalesce("order", "o").alias("order"))
+        # parts that hear nothing have nothing to do; all rows of a node's inflow share a part
+        out = ws.put(told.groupBy("part").applyInArrow(_settle, schema), "inflows")
+        new = ws.put(out.where("settled is not null").groupBy(F.col("dst").alias("node")).agg(F.first("settled").alias("order")), "orders")
         if new.isEmpty():
             break
-        out = new if out is None else out.unionByName(new)
-        settled = new.select(F.col("src").alias("node")).distinct() if settled is None else settled.unionByName(new.select(F.col("src").alias("node")).distinct())
-        inflow = out.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("have"), F.max("strahler").alias("m"), F.max(F.struct("strahler", "line_id")).alias("x"))
-        ties = out.join(inflow.select("node", "m"), (F.col("dst") == F.col("node")) & (F.col("strahler") == F.col("m"))).groupBy("node").agg(F.count(F.lit(1)).alias("ties"))
-        ready = todo.where("need > 0").join(settled, "node", "left_anti").join(inflow, "node").where("have = need").join(ties, "node").select("node", F.when(F.col("ties") > 1, F.col("m") + 1).otherwise(F.col("m")).alias("order"))
-    done = e.select("line_id").join(out.select("line_id", "strahler"), "line_id", "left") if out is not None else e.select("line_id", F.lit(None).cast("int").alias("strahler"))
-    return done.select("line_id", F.coalesce("strahler", F.lit(1)).alias("strahler"))
+        known, left = known.unionByName(new), out.where("settled is null").drop("settled")
+    done = e.join(known.select(F.col("node").alias("src"), "order"), "src", "left")
+    return done.select("line_id", F.coalesce("order", F.lit(1)).alias("strahler"))
+
+
+def _settle(rows: pa.Table) -> pa.Table:
+    """Inflows (src, dst, part, order of src) of a range with what follows inside it: order of further sources, and settled, the order of dst."""
+    src, dst, order = (rows.column(c).to_pylist() for c in ("src", "dst", "order"))
+    need: dict[int, int] = {}
+    out: dict[int, list[int]] = {}
+    for i, (s, d) in enumerate(zip(src, dst, strict=True)):
+        need[d] = need.get(d, 0) + 1
+        out.setdefault(s, []).append(i)
+    best: dict[int, tuple[int, int]] = {}
+    settled: dict[int, int] = {}
+    todo = [i for i, o in enumerate(order) if o is not None]
+    while todo:
+        i = todo.pop()
+        d, o = dst[i], order[i]
+        m, n = best.get(d, (0, 0))
+        best[d] = (o, 1) if o > m else (m, n + (o == m))
+        need[d] -= 1
+        if not need[d]:
+            m, n = best[d]
+            settled[d] = m + (n > 1)
+            for k in out.get(d, ()):
+                order[k] = settled[d]
+                todo.append(k)
+    return rows.set_column(rows.schema.get_field_index("order"), "order", pa.array(order, pa.int32())).append_column("settled", pa.array([settled.get(d) for d in dst], pa.int32()))
 
 
 def chains(lines: DataFrame, ws: Workspace) -> DataFrame:

@@ -135,3 +135,24 @@ def test_merging_copies(spark):
     assert sorted((r.x, r.y, r.members) for r in clusters.merge_nearest(df, {"A": 100}).collect()) == slow_merge(points, 100)
     many = spark.range(30_000).select(F.lit("B").alias("objtype"), "id", (F.col("id") % 300 * 50).alias("x"), F.lit(0).alias("y"))
     assert {(r.members) for r in clusters.merge_nearest(many, {"B": 20}).collect()} == {100}
+
+
+def test_strahler_over_ranges(spark, monkeypatch):
+    """Ranges of few lines give what one task gives; a path of 60 lines takes as many rounds as it changes ranges."""
+    from geoquill.operators import network
+    from geoquill.workspace import Workspace
+
+    rng = random.Random(4)
+    rows = [(i, i, i + 1) for i in range(60)] + [(100 + i, a, a + rng.randrange(1, 9)) for i, a in enumerate(rng.choices(range(100, 160), k=70))] + [(200, 300, 301), (201, 301, 300), (202, 301, 302)]
+    order, left = {}, True
+    while left:
+        done = {s for _, s, _ in rows if s not in order and all(x in order for _, x, d in rows if d == s)}
+        left = bool(done)
+        for s in done:
+            flow = sorted((order[x] for _, x, d in rows if d == s), reverse=True)
+            order[s] = 1 if not flow else flow[0] + (len(flow) > 1 and flow[0] == flow[1])
+    df = spark.createDataFrame(rows, "line_id long, src long, dst long")
+    for size in (25, 10**6):
+        monkeypatch.setattr(network, "STRAHLER_LINES", size)
+        got = {r.line_id: r.strahler for r in network.strahler(df, Workspace(spark, "t"), limit=20).collect()}
+        assert got == {i: order.get(s, 1) for i, s, _ in rows}
