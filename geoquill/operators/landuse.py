@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoquill.operators.overlay import cell_neighbours, dissolve_cells
+from geoquill.operators.cells import connected_cells, shared_sides
 from geoquill.workspace import Workspace
 
 NONE = "\0none"
@@ -14,22 +14,22 @@ NONE = "\0none"
 def parts(cells: DataFrame, ws: Workspace, by: str = "category") -> DataFrame:
     """cells plus part: connected cells of equal category (null is one), named by the smallest id."""
     d = cells.withColumn("gq_k", F.coalesce(F.col(by), F.lit(NONE)))
-    return ws.put(d.join(dissolve_cells(d, ws, "gq_k"), "id").drop("gq_k"), "parts")
+    return ws.put(connected_cells(d, ws, "gq_k").drop("gq_k"), "parts")
 
 
 def borders(whole: DataFrame) -> DataFrame:
     """(part, other, len): length of the border between two parts; other is null for the border to where no cells are."""
-    p = whole.select("id", "part")
-    near = cell_neighbours(whole).join(p, "id").join(p.select(F.col("id").alias("other"), F.col("part").alias("other_part")), "other")
-    inner = near.where("part <> other_part").groupBy("part", F.col("other_part").alias("other")).agg(F.count(F.lit(1)).alias("len"))
-    sides = near.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    near = shared_sides(whole)
+    inner = near.where("part <> other")
+    sides = near.groupBy("part").agg(F.sum("len").alias("n"))
     open_ = whole.groupBy("part").agg((4 * F.count(F.lit(1))).alias("every")).join(sides, "part", "left").select("part", F.lit(None).cast("bigint").alias("other"), (F.col("every") - F.coalesce("n", F.lit(0))).alias("len")).where("len > 0")
     return inner.unionByName(open_)
 
 
 def _given(whole: DataFrame, losers: DataFrame, border: DataFrame, by: str) -> DataFrame:
     """Category of each losing part (part): that of the neighbour with the longest border, then of the smaller part; losers and parts without category give none."""
-    kind = whole.select(F.col("part").alias("other"), F.col(by).alias("new")).distinct().where("new is not null")
+    # a part has the name of one of its cells
+    kind = whole.where("id = part").select(F.col("part").alias("other"), F.col(by).alias("new")).where("new is not null")
     b = border.where("other is not null").join(losers, "part", "left_semi").join(losers.select(F.col("part").alias("other")), "other", "left_anti").join(kind, "other")
     return b.groupBy("part").agg(F.max(F.struct("len", (-F.col("other")).alias("o"), "new")).alias("m")).select("part", F.col("m.new").alias("gq_new"))
 
@@ -48,7 +48,9 @@ def eliminate_by_category(cells: DataFrame, least: dict[str, int], ws: Workspace
     for kind, n in least.items():
         whole = parts(cells, ws, by)
         small = whole.where(F.col(by) == kind).groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < n).select("part")
-        cells = _recoloured(whole, _given(whole, small, borders(whole), by), ws, by)
+        new = _recoloured(whole, _given(whole, small, borders(whole), by), ws, by)
+        ws.drop(cells, whole)
+        cells = new
     return cells
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoquill.operators.cells import connected_cells, shared_sides
 from geoquill.operators.graph import connected_components
 from geoquill.operators.spatial import box_pairs, outer_boxes
 from geoquill.workspace import Workspace
@@ -45,10 +46,7 @@ def cell_neighbours(cells: DataFrame) -> DataFrame:
 
 def dissolve_cells(cells: DataFrame, ws: Workspace, by: str = "category") -> DataFrame:
     """(id, part): connected cells of equal category; part is the smallest id."""
-    k = cells.select("id", F.col(by).alias("k"))
-    pairs = cell_neighbours(cells).where("id < other").join(k, "id").join(k.toDF("other", "ko"), "other").where("k = ko")
-    of = connected_components(pairs, ws, "id", "other")
-    return cells.select("id").join(of.withColumnRenamed("component", "part"), "id", "left").select("id", F.coalesce("part", "id").alias("part"))
+    return connected_cells(cells.select("id", "col", "row", by), ws, by).select("id", "part")
 
 
 def eliminate_small(cells: DataFrame, parts: DataFrame, least: int, by: str = "category") -> DataFrame:
@@ -58,8 +56,7 @@ def eliminate_small(cells: DataFrame, parts: DataFrame, least: int, by: str = "c
     """
     c = cells.join(parts, "id")
     n = c.groupBy("part", by).agg(F.count(F.lit(1)).alias("n"))
-    p = parts.select("id", "part")
-    border = cell_neighbours(cells).join(p, "id").join(p.toDF("other", "other_part"), "other").where("part <> other_part").groupBy("part", "other_part").agg(F.count(F.lit(1)).alias("len"))
+    border = shared_sides(c, cells.count()).where("part <> other").select("part", F.col("other").alias("other_part"), "len")
     small = n.where(F.col("n") < least).select("part")
     big = n.where(F.col("n") >= least).select(F.col("part").alias("other_part"), F.col(by).alias("new"))
     best = border.join(small, "part", "left_semi").join(big, "other_part").groupBy("part").agg(F.max(F.struct("len", (-F.col("other_part")).alias("o"), "new")).alias("m")).select("part", F.col("m.new").alias("new"))
