@@ -59,3 +59,33 @@ def test_only_seams_are_joined(spark, monkeypatch):
     df = spark.range(40_000).selectExpr("id", "id % 40 as col", "id div 40 as row", "'a' as category")
     assert tiles.connected_cells(df, Workspace(spark, "t"), "category").select("part").distinct().count() == 1
     assert asked[0] <= 2 * 4
+
+
+def test_forest_over_ranges(spark, monkeypatch):
+    """Ranges of about 30 lines, on a lattice with chains over all ranges, against Kruskal; few rounds, and what is left after the first is small."""
+    from geoquill.operators import network
+
+    r = random.Random(11)
+    rows = [(i, a, a + r.choice([1, 7, 8]), r.choice([1, 2, 2, 3, None])) for i, a in enumerate(r.choices(range(200), k=500))]
+    rows += [(500 + i, r.randrange(210), r.randrange(210), r.randrange(4)) for i in range(40)] + [(600, 1, None, 1), (601, 5, 5, 0)]
+    parent, want = {}, set()
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for i, s, d, _ in sorted(rows, key=lambda x: (-1 if x[3] is None else x[3], x[0])):
+        if d is not None and root(s) != root(d):
+            parent[root(s)] = root(d)
+            want.add(i)
+    df = spark.createDataFrame(rows, "line_id long, src long, dst long, length_cm long")
+    counts = []
+    ws = Workspace(spark, "t")
+    put = ws.put
+    monkeypatch.setattr(ws, "put", lambda d, name="t": (counts.append((x := put(d, name)).count()), x)[1] if name == "edges" else put(d, name))
+    monkeypatch.setattr(network, "FOREST_LINES", 30)
+    got = [x.line_id for x in network.spanning_forest(df, ws, limit=8).collect()]
+    assert sorted(got) == sorted(want)
+    monkeypatch.setattr(network, "FOREST_LINES", 10**6)
+    assert {x.line_id for x in network.spanning_forest(df, ws, limit=2).collect()} == want
