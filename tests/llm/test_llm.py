@@ -616,6 +616,25 @@ def test_large_groups_of_lines_meet_through_their_lines(spark):
     assert got[0] == 0 and all(got[k] == 1 for k in got if 0 < k < 500) and all(got[k] == 0 for k in got if k >= 500)
 
 
+def test_a_link_counts_behind_lines_that_agree_more(spark):
+    """Of a group, the three lines that agree most with a line are not similar to it; the one that agrees least is."""
+    text = "a quick brown fox jumps over the lazy dog once more"
+    near, far = text.replace("quick", "quack"), "".join(chr(ord("z") - k % 26) for k in range(len(text)))
+    full = np.arange(lines.REGISTERS, dtype="<u2")
+    less = np.where(np.arange(lines.REGISTERS) % 8 < 6, full, full + 999).astype("<u2")
+    rows = [(1, 1, text, full), (2, 2, far, full), (3, 2, far + "!", full), (4, 2, far + "?", full), (5, 2, near, less), (2**40 + 1, 2**32 + 1, near, full)]
+    nodes = spark.createDataFrame([(k, c, len(x), bytearray(r.tobytes()), None, bytearray(x.encode())) for k, c, x, r in rows], "id long, c long, n int, long binary, short binary, text binary")
+    got = {tuple(sorted(x)) for x in lines._confirmed(nodes, len(rows), 50.0, 0, lines.KEYS, 80).collect()}
+    joined = {1: 1}  # groups by their links: 1, 2 and 2**32 + 1 are one
+    of = {k: c for k, c, *_ in rows}
+    assert all(1 in p or 5 in p or 2**40 + 1 in p for p in got) and not any({2, 3, 4} & set(p) for p in got)
+    for _ in rows:
+        for a, b in got:
+            if of[a] in joined or of[b] in joined:
+                joined |= {of[a]: 1, of[b]: 1}
+    assert set(joined) == {1, 2, 2**32 + 1}
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
