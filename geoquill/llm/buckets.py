@@ -15,9 +15,11 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from geoquill.operators.graph import connected_components
 from geoquill.workspace import Workspace, partitions
@@ -27,6 +29,24 @@ ROUNDS = 3
 BLOCK = 1024
 #: Parts that the items compared with one pivot are dealt to.
 SALT = 16
+#: Bits of a filter for each key, about, and at most in all (32 MB).
+BITS, MOST = 16, 2**28
+
+
+def mostly_of(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """rows whose key (long) is in keys, and few others: the keys go out as bits of a filter, so that a join after it shuffles few rows."""
+    size = min(MOST, 2 ** max(16, (BITS * keys.count()).bit_length()))
+    bit = lambda: F.pmod(F.xxhash64(key), F.lit(size))
+    words = keys.select(bit().alias("b")).groupBy(F.shiftright("b", 3).alias("at")).agg(F.bit_or(F.expr("shiftleft(1, cast(b & 7 as int))")).cast("short").alias("bits")).toArrow()
+    table = np.zeros(size // 8, np.uint8)
+    table[words.column("at").to_numpy()] = words.column("bits").to_numpy().astype(np.uint8)
+
+    @pandas_udf("boolean")
+    def has(b: pd.Series) -> pd.Series:
+        v = b.to_numpy()
+        return pd.Series((table[v >> 3] >> (v & 7).astype(np.uint8)) & 1 == 1)
+
+    return rows.where(has(bit()))
 
 
 def _plausible(pairs: DataFrame, sigs: DataFrame, plausible: Callable) -> DataFrame:
@@ -201,7 +221,7 @@ def groups(ws: Workspace, members: DataFrame | list[DataFrame], sigs: DataFrame,
         ws.release()
     ids = ws.put(b.select("id").distinct(), "ids")
     s = ws.put(sigs.select("id", "sig").join(ids, "id", "left_semi"), "sigs")
-    pay = ws.put((payloads(ids) if callable(payloads) else payloads).select("id", "payload").join(ids, "id", "left_semi"), "payloads")
+    pay = ws.put(payloads(ids).select("id", "payload") if callable(payloads) else payloads.select("id", "payload").join(ids, "id", "left_semi"), "payloads")
     ws.release()
     pairs = b.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links, used = None, b.select("key", F.col("pivot").alias("id")).distinct()

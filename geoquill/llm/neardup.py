@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoquill.llm.buckets import groups
+from geoquill.llm.buckets import groups, mostly_of
 from geoquill.llm.text import space_words
 from geoquill.workspace import Workspace
 
@@ -163,6 +163,9 @@ def _marked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     d = ws.put(docs.select("doc_id", _row_key().alias("row_key"), F.col("text").cast("binary").alias("text")).mapInArrow(sketch, "doc_id long, row_key long, n_shingles long, node long, sig binary"), "sketches")
     nodes = ws.put(d.where("node is not null").groupBy(F.col("node").alias("id")).agg(F.min("row_key").alias("row_key"), F.first("sig").alias("sig")), "nodes")
+    # signatures are most of the table, and those of the nodes are enough
+    marks = ws.put(d.select("doc_id", "row_key", "n_shingles", "node"), "marks")
+    ws.drop(d)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,9 +174,13 @@ def _marked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], names=["key", "id"])
 
     members = nodes.select("id", "sig").mapInArrow(keys, "key long, id long")
-    texts = docs.select(_row_key().alias("row_key"), F.col("text").cast("binary").alias("payload")).join(nodes.select("row_key", "id"), "row_key")
+
+    def texts(ids: DataFrame) -> DataFrame:
+        want = ws.put(nodes.select("row_key", "id").join(ids, "id", "left_semi"), "wanted")
+        return mostly_of(docs.select(_row_key().alias("row_key"), F.col("text").cast("binary").alias("payload")), "row_key", want).join(want, "row_key")
+
     comp = groups(ws, members, nodes, texts, plausible(percent), lambda t: shingle_set(t, shingle), confirm(percent), first=first_band)
-    of = d.select("doc_id", "row_key", "n_shingles", "node").join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
+    of = marks.join(comp.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = of.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("least"))
     out = of.join(least, "c", "left").withColumn("component_id", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -319,3 +319,14 @@ def test_stored_fingerprints_subtract_and_peel(spark):
     rows = [(k, "\n".join(r.choice("abcdefghijklmnop") * 3 for _ in range(r.randrange(30)))) for k in range(60)] + [(100, "a\n" * 400), (101, None)]
     got = fp.stored_likeness(fp.edit_fingerprints(docs(spark, rows))).collect()
     assert all(x.gq_likeness in (None, x.near_edited) for x in got) and sum(x.gq_likeness is not None for x in got) > 40
+
+
+def test_few_texts_meet_the_join_of_wanted_documents(spark):
+    """All rows with a wanted key pass the filter, with their columns, and few others do; no key passes none."""
+    from geoquill.llm.buckets import mostly_of
+
+    rows = spark.range(-20_000, 20_000).selectExpr("id * 7919 as k", "cast(id as string) as text")
+    want = spark.range(-200, 200).selectExpr("id * 7919 as k")
+    got = {r.k: r.text for r in mostly_of(rows, "k", want).collect()}
+    assert all(got[k * 7919] == str(k) for k in range(-200, 200)) and len(got) < 4000
+    assert mostly_of(rows, "k", want.limit(0)).count() == 0
