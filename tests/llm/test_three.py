@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoquill.llm import codes, repeats, resample
+from geoquill.llm import codes, lines, repeats, resample
 
 DOC = "doc_id long, text string, gold int, row_no int"  # extra columns, one with the name of an inner column
 ODD = [(1, ""), (2, None), (None, "a b"), (None, None), (9, "x " * 3000), (9, "x " * 3000)]
@@ -330,3 +330,20 @@ def test_few_texts_meet_the_join_of_wanted_documents(spark):
     got = {r.k: r.text for r in mostly_of(rows, "k", want).collect()}
     assert all(got[k * 7919] == str(k) for k in range(-200, 200)) and len(got) < 4000
     assert mostly_of(rows, "k", want.limit(0)).count() == 0
+
+
+def test_only_lines_with_a_candidate_take_their_text_along(spark):
+    """Ends of all links are among the lines that are seen to have a partner; lines of one group and lines without any are not."""
+    r = random.Random(4)
+    words = lambda: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(10))
+    alone, base = [words() for _ in range(150)], [words() for _ in range(20)]
+    near = [b[:20] + "zz" + b[22:] for b in base]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(alone + base + near)], "doc_id long, text string")
+    cut = docs.selectExpr("doc_id", "doc_id as row_key", "cast(text as binary) as text").mapInArrow(lines._cut, "doc_id long, row_key long, line int, id long, n int, long binary, short binary, text binary").cache()
+    nodes = cut.selectExpr("id", "id as c", "n", "long", "short", "text")
+    some = {x.id for x in lines._partnered(nodes, 190, 0, lines.KEYS, 80).collect()}
+    links = lines._confirmed(nodes, 190, 80.0, 0, lines.KEYS, 80).collect()
+    ends = {x for p in links for x in p}
+    assert len(links) == 20 and ends <= some and len(some) < 60
+    joined = nodes.withColumn("c", F.when(F.col("id").isin(list(ends)), F.lit(7)).otherwise(F.col("id")).cast("long"))
+    assert not ends & {x.id for x in lines._partnered(joined, 190, 0, lines.KEYS, 80).collect()}
