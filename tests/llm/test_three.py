@@ -347,3 +347,46 @@ def test_only_lines_with_a_candidate_take_their_text_along(spark):
     assert len(links) == 20 and ends <= some and len(some) < 60
     joined = nodes.withColumn("c", F.when(F.col("id").isin(list(ends)), F.lit(7)).otherwise(F.col("id")).cast("long"))
     assert not ends & {x.id for x in lines._partnered(joined, 190, 0, lines.KEYS, 80).collect()}
+
+
+def _two_lines():
+    """Rows (id, c, n, long, short, text) of two lines that share two thirds, less than the similarity."""
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(60)]
+    a, b = (" ".join(words[:28] + words[28 + 14 * k : 42 + 14 * k]).encode() for k in (0, 1))
+    sig = lines.signatures([a, b])
+    return [(k, k, int(lines._lengths(sig)[k]), bytes(sig[k, 4 : lines._WIDE]), None, x) for k, x in enumerate((a, b))]
+
+
+def test_a_pair_is_measured_once(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    rows, real = _two_lines(), lines.alike(80)
+
+    def alike(percent):
+        def same(a, b):
+            with open(log, "a") as f:
+                f.write("x")
+            return real(a, b)
+
+        return same
+
+    monkeypatch.setattr(lines, "alike", alike)
+    keys = lines._keys(np.frombuffer(rows[0][3] + rows[1][3], np.uint16).reshape(2, -1), 0, 0, lines.KEYS)
+    assert (keys[0] == keys[1]).sum() > 2
+    nodes = spark.createDataFrame(rows, "id long, c long, n int, long binary, short binary, text binary")
+    got = [lines._confirmed(nodes, 2, 400.0, k, k + 8, 80).collect() for k in range(0, lines.KEYS, 8)]
+    assert not any(got) and open(log).read() == "x"
+
+
+def test_packed_rows_follow_the_data(spark):
+    rows = [(k, *x[1:]) for k, x in enumerate(_two_lines() * 200)]
+    nodes = spark.createDataFrame(rows, "id long, c long, n int, long binary, short binary, text binary").drop("text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        packed = [lines._dealt(x, len(rows), 0, 4, 8 * lines.WORDS).agg(F.count(F.lit(1)), F.sum(F.length("entries"))).first() for x in (nodes.repartition(50), nodes.coalesce(1))]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert packed[0][1] == packed[1][1] == 4 * 400 * 8 * lines.WORDS
+    least = 2 * spark.sparkContext.defaultParallelism
+    assert packed[0][0] <= least * 4 * least
