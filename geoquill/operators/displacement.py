@@ -8,23 +8,26 @@ from pyspark.sql import functions as F
 from geoquill.operators.arrangement import meeting
 from geoquill.operators.gapplan import nearest_on
 from geoquill.operators.graph import rounds
+from geoquill.operators.spatial import places
 from geoquill.workspace import Workspace
 
 
 def propagated(points: DataFrame, links: DataFrame, reach: int) -> DataFrame:
     """points (id, x, y) plus dx, dy: the mean move of the links (x, y, dx, dy) nearer than reach, weighted by closeness squared and fading to nothing at reach; 0 where there is none.
 
-    A point on a link takes the mean of the links at its place.
+    A point on a link takes the mean of the links at its place. Places are compared: links of one place go along as their sum and number, and points of one place move alike.
     """
     cell = lambda c: F.floor(F.col(c) / reach).cast("bigint")
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    b = links.select(F.col("x").alias("lx"), F.col("y").alias("ly"), F.col("dx").alias("ldx"), F.col("dy").alias("ldy"), cell("x").alias("cx"), cell("y").alias("cy"), around.alias("o")).withColumns({"cx": F.col("cx") + F.col("o.i"), "cy": F.col("cy") + F.col("o.j")}).drop("o")
-    p = points.select("id", "x", "y", cell("x").alias("cx"), cell("y").alias("cy")).join(b, ["cx", "cy"])
+    links = links.where("x is not null and y is not null").groupBy("x", "y").agg(F.sum("dx").alias("dx"), F.sum("dy").alias("dy"), F.count(F.lit(1)).alias("n"))
+    b = links.select(F.col("x").alias("lx"), F.col("y").alias("ly"), F.col("dx").alias("ldx"), F.col("dy").alias("ldy"), "n", cell("x").alias("cx"), cell("y").alias("cy"), around.alias("o")).withColumns({"cx": F.col("cx") + F.col("o.i"), "cy": F.col("cy") + F.col("o.j")}).drop("o")
+    p = places(points).select("x", "y", cell("x").alias("cx"), cell("y").alias("cy")).join(b, ["cx", "cy"])
     d2 = ((F.col("x") - F.col("lx")) * (F.col("x") - F.col("lx")) + (F.col("y") - F.col("ly")) * (F.col("y") - F.col("ly"))).cast("double")
     p = p.withColumn("d2", d2).where(F.col("d2") < reach * reach)
     w, fade = 1 / F.greatest("d2", F.lit(1e-6)), 1 - F.sqrt("d2") / reach
-    mean = p.groupBy("id").agg((F.sum(w * fade * F.col("ldx")) / F.sum(w)).alias("dx"), (F.sum(w * fade * F.col("ldy")) / F.sum(w)).alias("dy"))
-    return points.join(mean, "id", "left").select(*points.columns, F.coalesce("dx", F.lit(0.0)).alias("dx"), F.coalesce("dy", F.lit(0.0)).alias("dy"))
+    weight = F.sum(w * F.col("n"))
+    mean = p.groupBy("x", "y").agg((F.sum(w * fade * F.col("ldx")) / weight).alias("dx"), (F.sum(w * fade * F.col("ldy")) / weight).alias("dy"))
+    return points.join(mean, ["x", "y"], "left").select(*points.columns, F.coalesce("dx", F.lit(0.0)).alias("dx"), F.coalesce("dy", F.lit(0.0)).alias("dy"))
 
 
 def pushed_vertices(line: Column, x: Column, y: Column, reach: float) -> Column:
